@@ -30,8 +30,11 @@ def parse_events(
     field whose JSON type does not match (``"40"`` or ``40.0`` for an int) is
     NULL on an otherwise parsed row. ``source=None`` keeps every parsed row.
     """
-    parsed = df.select(*keep, F.from_json(F.col(json_col), schema).alias("data"))
-    out = parsed.select(*keep, "data.*")
+    # inline(array(...)) materialises the parsed struct as columns behind a
+    # Generate node. Filters on parsed fields cannot be pushed below it, so the
+    # JSON text is parsed once per row; a plain ``select("data.*")`` lets every
+    # downstream predicate be rewritten into its own from_json call.
+    out = df.select(*keep, F.inline(F.array(F.from_json(F.col(json_col), schema))))
     if source is not None:
         out = out.where(F.col("source") == F.lit(source))
     return out

@@ -34,8 +34,10 @@ def _joined_names(conds: dict[str, Column]) -> Column:
 def validate_responses(df: DataFrame, json_col: str = "response_json") -> DataFrame:
     """Add ``reject_reason`` (NULL = valid) and ``reject_fields`` (the offending
     fields for rules 2 and 3) (I3a-I3e)."""
-    # parse once into a column; every rule reads that column
-    staged = df.withColumn("_h", F.try_variant_get(F.try_parse_json(F.col(json_col)), "$.hourly", "variant"))
+    # parse once into a column behind a Generate node, so a later filter on
+    # the verdict cannot be rewritten into repeated parses of the text
+    hourly_v = F.try_variant_get(F.try_parse_json(F.col(json_col)), "$.hourly", "variant")
+    staged = df.select("*", F.inline(F.array(F.struct(hourly_v.alias("_h")))))
     hourly = F.col("_h")
     is_object = F.coalesce(F.try_variant_get(hourly, "$", "map<string,variant>").isNotNull(), F.lit(False))
     missing = {f: _field(hourly, f, "variant").isNull() for f in REQUIRED_HOURLY_FIELDS}

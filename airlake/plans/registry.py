@@ -205,7 +205,7 @@ def q_bronze_stream(spark, sf):
 
 
 def q_file_inventory(spark, sf):
-    return file_inventory(_events(spark, sf)).select("file_name", "n_rows")
+    return file_inventory(fixtures.load(spark, sf, "events", spread=False)).select("file_name", "n_rows")
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
