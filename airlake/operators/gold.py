@@ -36,8 +36,6 @@ VARIANTS = {
         "rank_partition": "measurement_date",
         "rank_method": "dense_rank",
         "rank_alias": "aqi_rank",
-        # cities within a day: many rows per group at scale -> rank values
-        "rank_strategy": "values",
         "freshness": ("ingestion_timestamp_utc",),
     },
     "cloud": {
@@ -46,8 +44,6 @@ VARIANTS = {
         "rank_partition": "city",
         "rank_method": "rank",
         "rank_alias": "rank",
-        # days within a city: bounded by the calendar -> plain window
-        "rank_strategy": "window",
         "freshness": ("ingestion_timestamp_utc", "measurement_timestamp"),
     },
 }
@@ -138,15 +134,32 @@ def completeness_from_daily(daily: DataFrame, expected: int = EXPECTED_READINGS_
     )
 
 
+def rank_strategy_for(variant: str, materialized: bool) -> str:
+    """Plan choice for the ranking window.
+
+    Ranking cities within a day (local variant) puts all cities of a day in
+    one window partition; ranking distinct values instead bounds that task by
+    the value domain. The value strategy reads its input twice (a self-join),
+    so it is chosen only when the daily table is materialized (written or
+    checkpointed); on a lazy input it would recompute all of Silver twice.
+    Days within a city (cloud variant) are bounded by the calendar: window.
+    """
+    if VARIANTS[variant]["rank_partition"] == "measurement_date" and materialized:
+        return "values"
+    return "window"
+
+
 def gold_tables(silver: DataFrame, variant: str = "local") -> dict[str, DataFrame]:
-    """The four Gold tables of a variant, as lazy DataFrames."""
+    """The four Gold tables of a variant, as lazy DataFrames (one plan each;
+    :func:`airlake.plans.medallion.run_gold` shares one Silver scan instead)."""
     p = VARIANTS[variant]
     dated = with_measurement_date(silver)
     daily = daily_city_aqi(dated, p["scales"], p["with_count"])
     return {
         "daily_city_aqi": daily,
         "daily_city_ranking": rank_daily(
-            daily, p["rank_partition"], p["rank_method"], p["rank_alias"], strategy=p["rank_strategy"]
+            daily, p["rank_partition"], p["rank_method"], p["rank_alias"],
+            strategy=rank_strategy_for(variant, materialized=False),
         ),
         "data_freshness": data_freshness(dated, p["freshness"]),
         "data_completeness": data_completeness(dated),

@@ -12,7 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airlake.operators.bronze import parse_events
-from airlake.operators.gold import VARIANTS, completeness_from_daily, rank_daily, with_measurement_date
+from airlake.operators.gold import (
+    VARIANTS,
+    completeness_from_daily,
+    rank_daily,
+    rank_strategy_for,
+    with_measurement_date,
+)
 from airlake.operators.silver import silver as silver_op
 from airlake.schemas import MEASURES
 from airlake.session import ensure_checkpoint_dir
@@ -57,7 +63,9 @@ def gold_rollup(silver: DataFrame, variant: str = "local") -> DataFrame:
     return with_measurement_date(silver).groupBy("city", "measurement_date").agg(*aggs)
 
 
-def gold_from_rollup(rollup: DataFrame, variant: str = "local") -> dict[str, DataFrame]:
+def gold_from_rollup(rollup: DataFrame, variant: str = "local", materialized: bool = True) -> dict[str, DataFrame]:
+    """The four Gold tables from a (city, date) rollup. ``materialized`` says
+    the rollup is checkpointed or written, which lets the ranking read it twice."""
     p = VARIANTS[variant]
     keep = ["city", "measurement_date"] + [f"{k}_{m}" for m in MEASURES for k in ("avg", "max")]
     if p["with_count"]:
@@ -67,7 +75,11 @@ def gold_from_rollup(rollup: DataFrame, variant: str = "local") -> dict[str, Dat
     return {
         "daily_city_aqi": daily,
         "daily_city_ranking": rank_daily(
-            daily, p["rank_partition"], p["rank_method"], p["rank_alias"], strategy=p["rank_strategy"]
+            daily,
+            p["rank_partition"],
+            p["rank_method"],
+            p["rank_alias"],
+            strategy=rank_strategy_for(variant, materialized),
         ),
         "data_freshness": fresh,
         "data_completeness": completeness_from_daily(rollup),

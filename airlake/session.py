@@ -19,14 +19,23 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(app_name: str = "airlake", master: str | None = None, conf: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with UTC zone, ANSI and AQE on."""
+def get_session(
+    app_name: str = "airlake",
+    master: str | None = None,
+    conf: dict | None = None,
+    log_level: str | None = "WARN",
+) -> SparkSession:
+    """Build (or reuse) a session with UTC zone, ANSI and AQE on.
+
+    Library code never stops a session; the caller that created it does."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if log_level:
+        spark.sparkContext.setLogLevel(log_level)
     ensure_checkpoint_dir(spark)
     return spark
 

@@ -1,6 +1,8 @@
 """Sinks: batch and streaming writers, Kafka value encoding, file reports."""
 
 from airlake.sinks.writers import (
+    counted,
+    write_kafka,
     file_inventory,
     preview_stream,
     storage_smoke,
@@ -11,6 +13,8 @@ from airlake.sinks.writers import (
 )
 
 __all__ = [
+    "counted",
+    "write_kafka",
     "file_inventory",
     "preview_stream",
     "storage_smoke",

@@ -104,6 +104,32 @@ def to_kafka_value(df: DataFrame, columns=None, key_col: str | None = None, keep
     return df.select(value)
 
 
+def write_kafka(df: DataFrame, options: dict, topic: str, columns=None, key_col: str | None = None) -> None:
+    """Publish rows as JSON records to a Kafka topic in one batch job (K6, K7).
+
+    ``options`` come from :func:`airlake.sources.tables.kafka_options` (the
+    subscription-only keys are dropped); each task writes its own partition's
+    records, so nothing passes through the driver."""
+    producer_opts = {k: v for k, v in options.items() if k.startswith("kafka.")}
+    (
+        to_kafka_value(df, columns, key_col)
+        .write.format("kafka")
+        .options(**producer_opts)
+        .option("topic", topic)
+        .save()
+    )
+
+
+def counted(df: DataFrame, name: str = "records"):
+    """Attach a row counter that is filled by the next action on the returned
+    DataFrame (I6) — no extra job. Returns ``(df, observation)``; read
+    ``observation.get["n_rows"]`` after the action."""
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("n_rows")), obs
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """JSON-lines sample files (K8). Read back with ``spark.read.json``; a
     single JSON array file needs ``multiLine=True`` instead."""

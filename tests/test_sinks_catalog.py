@@ -80,3 +80,27 @@ def test_register_overwrite_refresh_and_reports(spark, tmp_dir):
     assert daily.count() == spark.table("aqi_lakehouse.daily_city_aqi").count()
     comp = run_report(spark, "completeness", data_completeness="aqi_lakehouse.data_completeness")
     assert comp.where(F.col("completeness_pct") > 100).count() == 0
+
+
+def test_counted_observes_rows_without_extra_job(spark, tmp_dir):
+    from airlake.sinks.writers import counted
+
+    df, obs = counted(_bronze(spark), "bronze")
+    write_table(df, os.path.join(tmp_dir, "b"))
+    assert obs.get["n_rows"] == _bronze(spark).count()
+
+
+def test_kafka_options_plain_and_sasl():
+    from airlake.sources.tables import eventhub_kafka_options, kafka_options
+
+    plain = kafka_options("localhost:9092", "air_quality_raw")
+    assert plain == {
+        "kafka.bootstrap.servers": "localhost:9092",
+        "subscribe": "air_quality_raw",
+        "startingOffsets": "earliest",
+    }
+    eh = eventhub_kafka_options("ns", "hub", "listen", "secret")
+    assert eh["kafka.bootstrap.servers"] == "ns.servicebus.windows.net:9093"
+    assert eh["kafka.security.protocol"] == "SASL_SSL" and eh["kafka.sasl.mechanism"] == "PLAIN"
+    assert 'username="$ConnectionString"' in eh["kafka.sasl.jaas.config"]
+    assert "SharedAccessKeyName=listen;SharedAccessKey=secret" in eh["kafka.sasl.jaas.config"]
