@@ -38,3 +38,27 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "aqi_rank" in df.columns
+
+
+@pytest.mark.parametrize(
+    "conf",
+    [
+        {"spark.sql.session.timeZone": "America/New_York"},
+        {"spark.sql.session.timeZone": "Asia/Kolkata", "spark.sql.ansi.enabled": "false"},
+    ],
+)
+@pytest.mark.parametrize(
+    "key", ["typed_readings", "latest_readings", "data_freshness_cloud", "daily_city_ranking", "flatten_hourly"]
+)
+def test_results_do_not_depend_on_session_settings(spark, duck, conf, key):
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = entry.queries()[key](spark, SF)
+        got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    res = duck.execute(entry.oracle_sql()[key])
+    assert got == rows_of([d[0] for d in res.description], res.fetchall())
