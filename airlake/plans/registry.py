@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from airlake.functions.timestamps import to_utc_wallclock, to_wallclock
 from airlake.operators import bronze, gold, ingest, silver
+from airlake.plans.medallion import gold_from_rollup, gold_rollup
 from airlake.plans.reports import run_report
-from airlake.session import scratch_path
+from airlake.session import ensure_checkpoint_dir, scratch_path
 from airlake.sinks.writers import file_inventory, to_kafka_value, write_table
 from airlake.sources import fixtures
 from airlake.sources.tables import city_dimension
@@ -124,7 +125,12 @@ def q_daily_city_ranking(spark, sf):
 
 
 def q_daily_city_ranking_per_user(spark, sf):
-    return _gold(spark, sf, "local", "per_user")["daily_city_ranking"]
+    """Per-user cities: the cities of one day grow with the data, so a plain
+    window would put a whole day in one task. Same plan as ``run_gold``: one
+    checkpointed (city, date) rollup, ranked by distinct values per day."""
+    ensure_checkpoint_dir(spark)
+    rollup = gold_rollup(_silver(spark, sf, "per_user"), "local").checkpoint(eager=True)
+    return gold_from_rollup(rollup, "local", materialized=True)["daily_city_ranking"]
 
 
 def q_daily_city_ranking_cloud(spark, sf):

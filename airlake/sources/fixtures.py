@@ -53,20 +53,17 @@ def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> Da
 
     The test tables are single files with one row group, which Spark can only
     read as one task; every per-row step after the scan (JSON encode/parse)
-    would then run on one core. With ``spread`` such an under-split scan is
-    redistributed round-robin to the session's default parallelism. On real
-    inputs (many files / row groups) the scan already has at least that many
-    splits and this is a no-op, so no extra shuffle is added at scale.
+    would then run on one core. With ``spread`` a table stored in fewer files
+    than the session's default parallelism is redistributed round-robin to
+    that parallelism. A lake table at scale is stored in many files (at least
+    one per writer task), so there this is a no-op and adds no shuffle. The
+    file count comes from the file listing (``inputFiles``), not a job.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if not spread:
         return df
     target = spark.sparkContext.defaultParallelism
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - e.g. Spark Connect
-        return df
-    return df.repartition(target) if splits < target else df
+    return df.repartition(target) if len(df.inputFiles()) < target else df
 
 
 def _every(n: int) -> Column:
