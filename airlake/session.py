@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -22,6 +23,42 @@ DEFAULT_CONF = {
 }
 
 
+MiB = 1 << 20
+
+
+def partition_conf(
+    input_bytes: int,
+    total_cores: int,
+    scan_split_bytes: int = 512 * MiB,
+    shuffle_target_bytes: int = 256 * MiB,
+    shuffled_fraction: float = 0.5,
+    max_shuffle_partitions: int = 100_000,
+) -> dict:
+    """Partition sizing for a run over ``input_bytes`` on ``total_cores``.
+
+    - Scan splits of ``scan_split_bytes`` (one task each): 100 TB at 512 MiB is
+      ~200k map tasks, ~25 waves on 8,000 cores.
+    - The first shuffle (Silver de-duplication) carries at most
+      ``shuffled_fraction`` of the input after column pruning; it starts with
+      enough partitions for ``shuffle_target_bytes`` each (at least two per
+      core, at most ``max_shuffle_partitions`` to bound the driver's map-output
+      statuses) and AQE coalesces later, smaller shuffles (partial aggregates)
+      down to the same target size.
+    - A partition over 4x the target is split by AQE's skew-join handling.
+    """
+    if input_bytes < 0 or total_cores < 1:
+        raise ValueError("input_bytes >= 0 and total_cores >= 1 required")
+    wanted = math.ceil(input_bytes * shuffled_fraction / shuffle_target_bytes)
+    n = min(max(wanted, 2 * total_cores), max_shuffle_partitions)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_target_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * shuffle_target_bytes),
+    }
+
+
 def get_session(
     app_name: str = "airlake",
     master: str | None = None,
