@@ -33,6 +33,7 @@ def partition_conf(
     shuffle_target_bytes: int = 256 * MiB,
     shuffled_fraction: float = 0.5,
     max_shuffle_partitions: int = 100_000,
+    min_coalesced_bytes: int = 128 * 1024,
 ) -> dict:
     """Partition sizing for a run over ``input_bytes`` on ``total_cores``.
 
@@ -45,6 +46,10 @@ def partition_conf(
       statuses) and AQE coalesces later, smaller shuffles (partial aggregates)
       down to the same target size.
     - A partition over 4x the target is split by AQE's skew-join handling.
+    - ``min_coalesced_bytes`` is AQE's floor when it merges small shuffle
+      partitions. It matters only when a whole shuffle is a few MB (then the
+      default 1 MiB floor leaves 1-2 tasks for CPU-bound JSON work after it);
+      at scale every partition is far above it.
     """
     if input_bytes < 0 or total_cores < 1:
         raise ValueError("input_bytes >= 0 and total_cores >= 1 required")
@@ -56,6 +61,7 @@ def partition_conf(
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_target_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * shuffle_target_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(min_coalesced_bytes),
     }
 
 

@@ -21,7 +21,15 @@ def write_table(
 ) -> str:
     """Batch write (K4, K5). ``partition_by`` enables partition pruning for
     readers (e.g. ``["measurement_date"]``); ``sort_within`` sorts rows inside
-    each output file (no global shuffle)."""
+    each output file (no global shuffle).
+
+    A partitioned write is preceded by a ``rebalance`` on the partition
+    columns: written straight from a wide shuffle, every task would write one
+    file per partition value (tasks x dates files). AQE sizes the rebalanced
+    partitions to its advisory size and splits a skewed value (a date holding
+    a third of the rows) over several tasks."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     writer = df.write.format(fmt).mode(mode)

@@ -26,6 +26,8 @@ def kafka_options(
     topic: str,
     *,
     starting_offsets: str = "earliest",
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
     sasl_username: str | None = None,
     sasl_password: str | None = None,
     login_module: str = "org.apache.kafka.common.security.plain.PlainLoginModule",
@@ -37,12 +39,21 @@ def kafka_options(
     PLAIN mechanism and a JAAS line built from the given user and password (an
     Event Hubs namespace uses user ``$ConnectionString`` and the connection
     string as password). Callers pass secret values in; nothing is read here.
+
+    ``max_offsets_per_trigger`` bounds each micro-batch (an ``availableNow``
+    drain of a large backlog then runs as several bounded batches, each
+    committed to the checkpoint); ``min_partitions`` splits topic partitions
+    into more Spark tasks when the topic has fewer partitions than cores.
     """
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
     }
+    if max_offsets_per_trigger is not None:
+        opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    if min_partitions is not None:
+        opts["minPartitions"] = str(int(min_partitions))
     if sasl_username is not None:
         jaas = f'{login_module} required username="{sasl_username}" password="{sasl_password}";'
         opts.update(

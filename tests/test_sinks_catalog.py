@@ -104,3 +104,30 @@ def test_kafka_options_plain_and_sasl():
     assert eh["kafka.security.protocol"] == "SASL_SSL" and eh["kafka.sasl.mechanism"] == "PLAIN"
     assert 'username="$ConnectionString"' in eh["kafka.sasl.jaas.config"]
     assert "SharedAccessKeyName=listen;SharedAccessKey=secret" in eh["kafka.sasl.jaas.config"]
+
+
+def test_kafka_options_bound_micro_batches():
+    from airlake.sources.tables import kafka_options
+
+    o = kafka_options("b:9092", "t", max_offsets_per_trigger=1_000_000, min_partitions=64)
+    assert o["maxOffsetsPerTrigger"] == "1000000" and o["minPartitions"] == "64"
+
+
+def test_partitioned_write_gives_one_file_per_value(spark, tmp_dir):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from airlake.sinks.writers import write_table
+
+    # 8 scattered input partitions, 30 dates: without the rebalance every task
+    # would write a file into every date folder
+    df = spark.range(0, 30_000, numPartitions=8).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias("measurement_date"),
+        F.col("id"),
+    )
+    path = write_table(df, f"{tmp_dir}/parted", partition_by=["measurement_date"])
+    folders = glob.glob(f"{path}/measurement_date=*")
+    assert len(folders) == 30
+    assert all(len(glob.glob(f"{d}/*.parquet")) == 1 for d in folders)
+    assert spark.read.parquet(path).count() == 30_000
