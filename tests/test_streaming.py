@@ -46,3 +46,25 @@ def test_raw_form_and_memory_preview(spark, tmp_dir):
     rows = spark.sql("SELECT * FROM airlake_raw_preview LIMIT 20").collect()
     assert len(rows) == 20 and rows[0].json_string is not None
     assert spark.table("airlake_raw_preview").count() == 100
+
+
+def test_default_trigger_keeps_running_and_picks_up_new_files(spark, tmp_dir):
+    """T-6: without availableNow the query runs micro-batches until stopped."""
+    from airlake.operators.bronze import parse_events
+
+    src, out, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "out", "ckpt"))
+    write_table(_records(spark, 0, 300), os.path.join(src, "batch=0"))
+    q = start_bronze_stream(file_value_stream(spark, src + "/*"), out, ckpt, trigger=None)
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+        n0 = spark.read.parquet(out).count()
+        write_table(_records(spark, 300, 600), os.path.join(src, "batch=1"))
+        q.processAllAvailable()
+        n1 = spark.read.parquet(out).count()
+    finally:
+        q.stop()
+    events = fixtures.load(spark, "/root/testdata/sf0.001", "events")
+    assert n0 == parse_events(fixtures.aqi_json(events.where("event_id < 300"))).count()
+    assert n1 == parse_events(fixtures.aqi_json(events.where("event_id < 600"))).count()
+    assert not q.isActive
