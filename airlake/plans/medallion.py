@@ -20,6 +20,7 @@ from airlake.operators.gold import (
     with_measurement_date,
 )
 from airlake.operators.silver import silver as silver_op
+from airlake.plans.catalog import register_tables
 from airlake.schemas import MEASURES
 from airlake.session import ensure_checkpoint_dir
 from airlake.sinks.writers import write_table
@@ -115,3 +116,29 @@ def run_batch(
     paths = {"silver": silver_path}
     paths.update(run_gold(spark, silver_path, f"{root.rstrip('/')}/gold", variant, fmt))
     return paths
+
+
+def run_all(
+    spark: SparkSession,
+    raw_path: str,
+    root: str,
+    variant: str = "cloud",
+    fmt: str = "parquet",
+    as_of=None,
+    tie_break=(),
+    schema: str | None = None,
+) -> dict[str, str]:
+    """The cloud run end to end, as its dependent steps: raw ``json_string``
+    Bronze at ``raw_path`` -> structured Bronze -> Silver -> four Gold tables,
+    then (``schema`` given) the Gold tables registered as external tables
+    ``schema.<name>`` for the SQL reports. Each step reads the previous one's
+    written output, so a failed step restarts from storage. Returns
+    name -> path (plus ``bronze_structured``)."""
+    base = root.rstrip("/")
+    structured = run_bronze_structured(spark, raw_path, f"{base}/bronze_structured", fmt)
+    paths = {"bronze_structured": structured}
+    paths.update(run_batch(spark, structured, base, variant, fmt, as_of, tie_break))
+    if schema:
+        gold = {k: v for k, v in paths.items() if k not in ("bronze_structured", "silver")}
+        register_tables(spark, schema, gold, fmt)
+    return paths

@@ -68,3 +68,27 @@ def test_default_trigger_keeps_running_and_picks_up_new_files(spark, tmp_dir):
     assert n0 == parse_events(fixtures.aqi_json(events.where("event_id < 300"))).count()
     assert n1 == parse_events(fixtures.aqi_json(events.where("event_id < 600"))).count()
     assert not q.isActive
+
+
+def test_cloud_run_from_raw_stream_to_reports(spark, tmp_dir):
+    """Entry 3: raw stream (availableNow) -> structured Bronze -> Silver -> Gold
+    -> registered tables -> SQL report; equals the in-memory cloud Gold."""
+    from airlake.operators.bronze import parse_events
+    from airlake.operators.gold import gold_tables
+    from airlake.operators.silver import silver
+    from airlake.plans.medallion import run_all
+    from airlake.plans.reports import run_report
+
+    src, raw, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "raw", "ckpt"))
+    write_table(_records(spark, 0, 1000), src)
+    start_bronze_stream(file_value_stream(spark, src), raw, ckpt, form="raw").awaitTermination()
+    paths = run_all(spark, raw, os.path.join(tmp_dir, "lake"), "cloud", as_of=fixtures.FIXTURE_AS_OF, schema="aqi_e2e")
+    events = fixtures.load(spark, "/root/testdata/sf0.001", "events")
+    expected = gold_tables(silver(parse_events(fixtures.aqi_json(events)), fixtures.FIXTURE_AS_OF), "cloud")
+    for name, df in expected.items():
+        got = spark.table(f"aqi_e2e.{name}")
+        assert got.exceptAll(df.select(*got.columns)).count() == 0, name
+        assert df.select(*got.columns).exceptAll(got).count() == 0, name
+    worst = run_report(spark, "worst_day_per_city", daily_city_ranking="aqi_e2e.daily_city_ranking")
+    assert worst.count() == expected["daily_city_ranking"].where("rank = 1").count()
+    assert spark.read.parquet(paths["bronze_structured"]).count() == parse_events(fixtures.aqi_json(events)).count()
