@@ -53,12 +53,11 @@ def parse_events_with_quarantine(
     with_corrupt = schema
     if corrupt_col not in schema.fieldNames():
         with_corrupt = StructType(list(schema.fields) + [StructField(corrupt_col, StringType())])
-    parsed = df.select(
-        F.from_json(
-            F.col(json_col), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_col}
-        ).alias("data"),
-        F.col(json_col).alias("_text"),
+    data = F.from_json(
+        F.col(json_col), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_col}
     )
+    # same Generate barrier as parse_events: later filters must not re-parse
+    parsed = df.select(F.inline(F.array(F.struct(data.alias("data"), F.col(json_col).alias("_text")))))
     out = parsed.select("data.*", "_text")
     # an all-NULL row with no corrupt text (NULL input) is also quarantined
     return out.withColumn(

@@ -99,3 +99,16 @@ def test_partition_conf_scales_and_is_bounded():
     assert int(mid["spark.sql.shuffle.partitions"]) == -(-(10**12 // 2) // (256 << 20))
     with pytest.raises(ValueError):
         partition_conf(1, 0)
+
+
+def test_quarantine_parse_is_parsed_once_under_filters(spark):
+    from pyspark.sql import functions as F
+
+    from airlake.operators.bronze import parse_events_with_quarantine
+    from airlake.operators.silver import silver
+    from airlake.sources import fixtures
+
+    raw = fixtures.aqi_json(fixtures.load(spark, SF, "events"))
+    good = parse_events_with_quarantine(raw).where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    opt = silver(good, fixtures.FIXTURE_AS_OF)._jdf.queryExecution().optimizedPlan().toString()
+    assert opt.count("from_json(") == 1
