@@ -105,7 +105,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if root:
         return root
     root = tempfile.mkdtemp(prefix="airlake-ckpt-")
-    spark.sparkContext.setCheckpointDir(root)
+    try:
+        spark.sparkContext.setCheckpointDir(root)
+    except Exception:  # pragma: no cover - Spark Connect: no SparkContext on the client
+        spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 

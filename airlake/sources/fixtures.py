@@ -62,7 +62,10 @@ def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> Da
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if not spread:
         return df
-    target = spark.sparkContext.defaultParallelism
+    try:
+        target = spark.sparkContext.defaultParallelism
+    except Exception:  # pragma: no cover - Spark Connect: no SparkContext on the client
+        return df
     return df.repartition(target) if len(df.inputFiles()) < target else df
 
 
