@@ -1,7 +1,7 @@
 """SQL reports over the Gold tables (Q1-Q4).
 
 Each report is one SQL text with ``{table}`` placeholders. A placeholder is
-filled either with a catalog table name (``"aqi_lakehouse.daily_city_ranking"``)
+filled either with a catalog table name (``"air_quality.daily_city_ranking"``)
 or with a DataFrame, which PySpark binds as a temporary view for that one
 statement (``spark.sql(text, name=df)``)."""
 

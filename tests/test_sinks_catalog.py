@@ -63,22 +63,22 @@ def test_register_overwrite_refresh_and_reports(spark, tmp_dir):
     paths = run_batch(spark, bronze_path, os.path.join(tmp_dir, "lake"), "cloud", as_of=fixtures.FIXTURE_AS_OF)
     assert catalog.list_catalogs(spark).count() >= 1
     catalog.use_catalog(spark, "spark_catalog")
-    names = catalog.register_tables(spark, "aqi_lakehouse", {k: v for k, v in paths.items() if k != "silver"})
+    names = catalog.register_tables(spark, "air_quality", {k: v for k, v in paths.items() if k != "silver"})
     assert len(names) == 4
-    tables = {r.tableName for r in catalog.list_tables(spark, "aqi_lakehouse").collect()}
+    tables = {r.tableName for r in catalog.list_tables(spark, "air_quality").collect()}
     assert set(catalog.GOLD_TABLES) <= tables
     # overwrite the location, then re-register: refresh makes the new files visible
     run_batch(spark, bronze_path, os.path.join(tmp_dir, "lake"), "cloud", as_of=fixtures.FIXTURE_AS_OF)
-    catalog.register_tables(spark, "aqi_lakehouse", {k: v for k, v in paths.items() if k != "silver"})
-    worst = run_report(spark, "worst_day_per_city", daily_city_ranking="aqi_lakehouse.daily_city_ranking")
+    catalog.register_tables(spark, "air_quality", {k: v for k, v in paths.items() if k != "silver"})
+    worst = run_report(spark, "worst_day_per_city", daily_city_ranking="air_quality.daily_city_ranking")
     rows = worst.collect()
     assert rows and all(r.rank == 1 for r in rows)
     assert worst.columns == ["measurement_date", "city", "avg_european_aqi", "rank"]
-    fresh = run_report(spark, "freshness", data_freshness="aqi_lakehouse.data_freshness").collect()
+    fresh = run_report(spark, "freshness", data_freshness="air_quality.data_freshness").collect()
     assert [r.city for r in fresh] == sorted(r.city for r in fresh)
-    daily = run_report(spark, "daily_aqi", daily_city_aqi="aqi_lakehouse.daily_city_aqi")
-    assert daily.count() == spark.table("aqi_lakehouse.daily_city_aqi").count()
-    comp = run_report(spark, "completeness", data_completeness="aqi_lakehouse.data_completeness")
+    daily = run_report(spark, "daily_aqi", daily_city_aqi="air_quality.daily_city_aqi")
+    assert daily.count() == spark.table("air_quality.daily_city_aqi").count()
+    comp = run_report(spark, "completeness", data_completeness="air_quality.data_completeness")
     assert comp.where(F.col("completeness_pct") > 100).count() == 0
 
 
