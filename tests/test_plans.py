@@ -112,3 +112,18 @@ def test_quarantine_parse_is_parsed_once_under_filters(spark):
     good = parse_events_with_quarantine(raw).where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     opt = silver(good, fixtures.FIXTURE_AS_OF)._jdf.queryExecution().optimizedPlan().toString()
     assert opt.count("from_json(") == 1
+
+
+def test_incremental_merge_reads_only_touched_dates(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from airlake.operators.bronze import parse_events
+    from airlake.plans.medallion import run_incremental
+    from airlake.sources import fixtures
+    from airlake.sources.tables import read_table
+
+    b = parse_events(fixtures.aqi_json(fixtures.load(spark, SF, "events")))
+    run_incremental(spark, b, tmp_dir, as_of=fixtures.FIXTURE_AS_OF)
+    q = read_table(spark, f"{tmp_dir}/silver").where(F.col("measurement_date").isin(["2024-01-05", "2024-01-06"]))
+    phys = q._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*measurement_date[^\]]* IN \(", phys)
