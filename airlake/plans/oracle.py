@@ -189,6 +189,8 @@ def oracle_sql() -> dict[str, str]:
     q["flag_readings"] = _with(ref, f"SELECT {EVENT_COLS}, {FLAG_COLS} FROM flagged")
     q["valid_readings"] = _with(ref, f"SELECT {EVENT_COLS}, {FLAG_COLS} FROM valid")
     q["latest_readings"] = _with(ref, f"SELECT {EVENT_COLS}, {FLAG_COLS} FROM silver")
+    # the incremental merge must give exactly the full recompute
+    q["latest_readings_incremental"] = q["latest_readings"]
     q["stage_counts"] = _with(
         ref,
         """SELECT (SELECT count(*) FROM parsed) AS structured_rows,

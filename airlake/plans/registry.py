@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from airlake.functions.timestamps import to_utc_wallclock, to_wallclock
 from airlake.operators import bronze, gold, ingest, silver
-from airlake.plans.medallion import gold_from_rollup, gold_rollup
+from airlake.plans.medallion import gold_from_rollup, gold_rollup, run_silver_incremental
 from airlake.plans.reports import run_report
 from airlake.session import ensure_checkpoint_dir, scratch_path
 from airlake.sinks.writers import file_inventory, to_kafka_value, write_table
@@ -102,6 +102,17 @@ def q_latest_readings_per_user(spark, sf):
     return present(_silver(spark, sf, "per_user"))
 
 
+def q_latest_readings_incremental(spark, sf):
+    """Silver built by two incremental merges (events split by parity, so
+    readings of one key arrive in both batches); equals ``latest_readings``."""
+    tagged = bronze.parse_events(fixtures.aqi_json(_events(spark, sf)), keep=("event_id",))
+    silver_path = scratch_path(spark, "silver-incremental")
+    for parity in (0, 1):
+        batch = tagged.where(F.col("event_id") % 2 == parity).drop("event_id")
+        run_silver_incremental(spark, batch, silver_path, as_of=AS_OF)
+    return present(spark.read.parquet(silver_path).drop("measurement_date"))
+
+
 def q_stage_counts(spark, sf):
     return silver.stage_counts(_bronze(spark, sf), as_of=AS_OF)
 
@@ -223,6 +234,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_readings": q_valid_readings,
     "latest_readings": q_latest_readings,
     "latest_readings_per_user": q_latest_readings_per_user,
+    "latest_readings_incremental": q_latest_readings_incremental,
     "stage_counts": q_stage_counts,
     "with_measurement_date": q_with_measurement_date,
     "daily_city_aqi": q_daily_city_aqi,
