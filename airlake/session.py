@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     # PySpark 4 records the Python call site of every Column function call
     # (several Py4J round trips each); off, plan building is ~3x faster.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # checkpoint files (Gold rollups, merges) are removed from the shared
+    # folder once their DataFrame is garbage-collected, not kept forever
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
