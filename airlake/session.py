@@ -102,11 +102,18 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint root; only when none is configured (local tests)
-    create a fresh local one and register it."""
+    """Return the checkpoint root; only when none is configured and the session
+    runs in local mode (tests) create a fresh local one and register it. On a
+    cluster a machine-local folder would scatter checkpoint files over the
+    executors' disks, so an unset ``spark.checkpoint.dir`` is an error there."""
     root = checkpoint_root(spark)
     if root:
         return root
+    master = spark.conf.get("spark.master", "local")
+    if not master.startswith("local"):
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a shared folder (e.g. on the cluster's object store or HDFS)"
+        )
     root = tempfile.mkdtemp(prefix="airlake-ckpt-")
     try:
         spark.sparkContext.setCheckpointDir(root)

@@ -127,3 +127,28 @@ def test_incremental_merge_reads_only_touched_dates(spark, tmp_dir):
     q = read_table(spark, f"{tmp_dir}/silver").where(F.col("measurement_date").isin(["2024-01-05", "2024-01-06"]))
     phys = q._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*measurement_date[^\]]* IN \(", phys)
+
+
+def test_checkpoint_root_never_local_on_a_cluster(monkeypatch):
+    from airlake import session
+
+    class Conf:
+        def __init__(self, values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Ctx:
+        def getCheckpointDir(self):
+            return None
+
+    class Fake:
+        sparkContext = Ctx()
+
+        def __init__(self, values):
+            self.conf = Conf(values)
+
+    assert session.ensure_checkpoint_dir(Fake({"spark.checkpoint.dir": "s3a://b/ckpt"})) == "s3a://b/ckpt"
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Fake({"spark.master": "yarn"}))
