@@ -8,8 +8,8 @@ expressions, so Catalyst sees the whole plan. Layout:
 - ``airlake.sources``     table/stream readers, Kafka options, the test-table adapter
 - ``airlake.operators``   ingest (validate/flatten), bronze, silver, gold, ranking
 - ``airlake.sinks``       batch/stream writers, Kafka value encoder, file inventory
-- ``airlake.streaming``   streaming Bronze jobs
-- ``airlake.plans``       end-to-end runs, catalog registration, SQL reports
+- ``airlake.streaming``   streaming Bronze jobs, incremental Silver/Gold per micro-batch
+- ``airlake.plans``       end-to-end and incremental runs, catalog registration, SQL reports
 """
 
 __version__ = "0.1.0"

@@ -2,9 +2,10 @@
 
 from airlake.sources.tables import (
     city_dimension,
+    eventhub_kafka_options,
     kafka_options,
     read_stream,
     read_table,
 )
 
-__all__ = ["city_dimension", "kafka_options", "read_stream", "read_table"]
+__all__ = ["city_dimension", "eventhub_kafka_options", "kafka_options", "read_stream", "read_table"]
