@@ -207,20 +207,46 @@ def run_gold_incremental(
     variant: str = "local",
     fmt: str = "parquet",
 ) -> dict[str, str]:
-    """Recompute the (city, date) rollup of ``dates`` from those Silver
-    partitions, overwrite those dates of ``root/rollup``, then rebuild the four
-    Gold tables under ``root/gold`` from the whole rollup (one row per city and
-    day)."""
+    """Bring ``root/rollup`` and the four Gold tables under ``root/gold`` up to
+    date after Silver changed on ``dates``.
+
+    - rollup: the (city, date) rows of ``dates`` are recomputed from those
+      Silver partitions and overwritten (tables are partitioned by date);
+    - per-date tables (daily table, completeness, and the local ranking, which
+      ranks cities within a day): only the partitions of ``dates`` are
+      recomputed from the rollup and overwritten;
+    - freshness: a running max, merged from the previous table and the
+      touched dates (a merge never lowers a city's latest timestamps);
+    - the cloud ranking ranks the days of a city, so it is rebuilt from the
+      whole rollup (one row per city and day).
+    """
     base = root.rstrip("/")
+    p = VARIANTS[variant]
+    gold = f"{base}/gold"
     paths = {"rollup": f"{base}/rollup"}
-    if dates:
-        silver = read_table(spark, silver_path, fmt).where(F.col("measurement_date").isin(dates))
-        write_table(gold_rollup(silver, variant), paths["rollup"], fmt, partition_by=["measurement_date"], options=_DYNAMIC)
-    tables = gold_from_rollup(read_table(spark, paths["rollup"], fmt), variant)
-    for name, df in tables.items():
-        if name == "daily_city_aqi":
-            df = df.orderBy("city", "measurement_date")
-        paths[name] = write_table(df, f"{base}/gold/{name}", fmt)
+    paths.update({name: f"{gold}/{name}" for name in ("daily_city_aqi", "daily_city_ranking", "data_freshness", "data_completeness")})
+    if not dates:
+        return paths
+    in_dates = F.col("measurement_date").isin(dates)
+    silver = read_table(spark, silver_path, fmt).where(in_dates)
+    write_table(gold_rollup(silver, variant), paths["rollup"], fmt, partition_by=["measurement_date"], options=_DYNAMIC)
+    touched = gold_from_rollup(read_table(spark, paths["rollup"], fmt).where(in_dates), variant)
+    per_date = ["daily_city_aqi", "data_completeness"]
+    if p["rank_partition"] == "measurement_date":
+        per_date.append("daily_city_ranking")
+    else:
+        whole = gold_from_rollup(read_table(spark, paths["rollup"], fmt), variant)
+        write_table(whole["daily_city_ranking"], paths["daily_city_ranking"], fmt)
+    for name in per_date:
+        order = ["measurement_date", "city"] if name == "daily_city_aqi" else None
+        write_table(touched[name], paths[name], fmt, partition_by=["measurement_date"], sort_within=order, options=_DYNAMIC)
+    fresh = touched["data_freshness"]
+    old = _read_or_none(spark, paths["data_freshness"], fmt)
+    if old is not None:
+        cols = [c for c in fresh.columns if c != "city"]
+        fresh = old.unionByName(fresh).groupBy("city").agg(*[F.max(c).alias(c) for c in cols])
+    # checkpointed: the overwrite must not read the files it replaces
+    write_table(fresh.checkpoint(eager=True), paths["data_freshness"], fmt)
     return paths
 
 

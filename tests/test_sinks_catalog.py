@@ -159,3 +159,30 @@ def test_incremental_runs_equal_full_recompute(spark, tmp_dir):
             assert sorted(g.columns) == sorted(df.columns), (variant, name)
             assert g.exceptAll(df.select(*g.columns)).count() == 0, (variant, name)
             assert df.select(*g.columns).exceptAll(g).count() == 0, (variant, name)
+
+
+def test_incremental_rewrites_only_touched_date_partitions(spark, tmp_dir):
+    import glob
+
+    from airlake.plans.medallion import run_incremental
+
+    bronze = _bronze(spark)
+    day = "2024-01-10"
+    first = bronze.where(~F.col("measurement_timestamp").startswith(day))
+    second = bronze.where(F.col("measurement_timestamp").startswith(day))
+    root = os.path.join(tmp_dir, "lake")
+    run_incremental(spark, first, root, "local", as_of=fixtures.FIXTURE_AS_OF)
+
+    def files(table):
+        return {
+            os.path.basename(d): sorted(os.path.basename(f) for f in glob.glob(f"{d}/*.parquet"))
+            for d in glob.glob(os.path.join(root, table, "measurement_date=*"))
+        }
+
+    tables = ["silver", "rollup", "gold/daily_city_aqi", "gold/daily_city_ranking", "gold/data_completeness"]
+    before = {t: files(t) for t in tables}
+    run_incremental(spark, second, root, "local", as_of=fixtures.FIXTURE_AS_OF)
+    for t in tables:
+        after = files(t)
+        touched = {k for k in after if before[t].get(k) != after[k]}
+        assert touched == {f"measurement_date={day}"}, (t, touched)
