@@ -1,4 +1,10 @@
-"""Gold aggregates, rounding, ranking variants and completeness."""
+"""Gold aggregates, rounding, ranking variants and completeness.
+
+T14 ranking on the rounded average (rounding creates ties); T15 a silent day is
+absent, not 0 %; T16/T18 completeness = round(n / 24 * 100, 2), 22 -> 91.67 on a
+partial day; T17 HALF_UP rounding of averages (1.005 -> 1.01); rank vs
+dense_rank on ties; value ranking equals window ranking (property test).
+"""
 
 import datetime as dt
 

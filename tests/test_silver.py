@@ -1,4 +1,11 @@
-"""Silver semantics: one test per trap (T3-T13) and idempotence."""
+"""Silver semantics: one test per trap and idempotence.
+
+T3 malformed timestamps -> NULL under ANSI; T4/T5 wall clock read in the session
+zone; T6 ``as_of`` fixes "now" (future flag); T7 null-safe flags, zero valid;
+T8 NaN passes; T9 tie-break; T10 dedup on city_id, Gold groups on the name;
+T11 newer invalid does not displace older valid; T12 NULL AQI dropped by the
+key filter, negative by the flag; T13 persisted flags all true.
+"""
 
 import datetime as dt
 import math
@@ -161,3 +168,18 @@ def test_silver_is_idempotent(spark):
     s2 = silver(back, fixtures.FIXTURE_AS_OF)
     assert s1.count() == s2.count()
     assert s1.exceptAll(s2).count() == 0 and s2.exceptAll(s1).count() == 0
+
+
+def test_dedup_keys_on_city_id_gold_groups_on_name(spark):
+    """Two ids with one name are two Silver keys and one Gold group."""
+    from airlake.operators.gold import daily_city_aqi
+
+    df = frame(
+        spark,
+        ev(european_aqi=10, city_id=1, city="Athens"),
+        ev(european_aqi=30, city_id=9, city="Athens"),
+    )
+    s = silver(df, AS_OF)
+    assert s.count() == 2
+    daily = daily_city_aqi(s, with_count=True).collect()
+    assert [(r.city, r.record_count, r.avg_european_aqi) for r in daily] == [("Athens", 2, 20.0)]
