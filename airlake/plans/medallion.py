@@ -193,6 +193,11 @@ def run_silver_incremental(
     if not dates:
         return []
     old = _read_or_none(spark, silver_path, fmt)
+    if old is not None and "measurement_date" not in old.columns:
+        raise ValueError(
+            f"{silver_path} is not partitioned by measurement_date; build it with run_incremental "
+            "or run_silver(partition_by=['measurement_date'])"
+        )
     rows = fresh if old is None else old.where(F.col("measurement_date").isin(dates)).unionByName(fresh)
     merged = latest_readings(rows, tie_break=tie_break).checkpoint(eager=True)
     write_table(merged, silver_path, fmt, partition_by=["measurement_date"], options=_DYNAMIC)

@@ -187,3 +187,21 @@ def test_incremental_rewrites_only_touched_date_partitions(spark, tmp_dir):
         after = files(t)
         touched = {k for k in after if before[t].get(k) != after[k]}
         assert touched == {f"measurement_date={day}"}, (t, touched)
+
+
+def test_incremental_after_partitioned_full_run_and_refuses_unpartitioned(spark, tmp_dir):
+    import pytest
+
+    from airlake.plans.medallion import run_silver, run_silver_incremental
+
+    bronze_path = write_table(_bronze(spark), os.path.join(tmp_dir, "bronze"))
+    flat = run_silver(spark, bronze_path, os.path.join(tmp_dir, "flat"), as_of=fixtures.FIXTURE_AS_OF)
+    with pytest.raises(ValueError):
+        run_silver_incremental(spark, _bronze(spark), flat, as_of=fixtures.FIXTURE_AS_OF)
+    parted = run_silver(
+        spark, bronze_path, os.path.join(tmp_dir, "parted"), as_of=fixtures.FIXTURE_AS_OF, partition_by=["measurement_date"]
+    )
+    run_silver_incremental(spark, _bronze(spark), parted, as_of=fixtures.FIXTURE_AS_OF)  # replay of all rows
+    got = spark.read.parquet(parted).drop("measurement_date")
+    full = silver(_bronze(spark), fixtures.FIXTURE_AS_OF)
+    assert got.count() == full.count() and got.exceptAll(full.select(*got.columns)).count() == 0
