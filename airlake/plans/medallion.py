@@ -151,8 +151,8 @@ def run_all(
 # (the winner of old rows, merged with new rows, is the winner of all rows), and
 # a key (city_id, measurement_timestamp) never changes its measurement date, so
 # a batch of new Bronze rows only changes the Silver partitions of the dates it
-# touches. Those partitions are merged and overwritten in place; Gold is rebuilt
-# from a (city, date) rollup kept per date, which is small.
+# touches. Those partitions are merged and overwritten in place; so are the same
+# dates of a (city, date) rollup and of the per-date Gold tables.
 #
 # One difference to a full recompute: a reading rejected as "future" by an
 # earlier run is not reconsidered later (validity is decided when a row arrives).
@@ -229,7 +229,8 @@ def run_gold_incremental(
     p = VARIANTS[variant]
     gold = f"{base}/gold"
     paths = {"rollup": f"{base}/rollup"}
-    paths.update({name: f"{gold}/{name}" for name in ("daily_city_aqi", "daily_city_ranking", "data_freshness", "data_completeness")})
+    names = ("daily_city_aqi", "daily_city_ranking", "data_freshness", "data_completeness")
+    paths.update({name: f"{gold}/{name}" for name in names})
     if not dates:
         return paths
     in_dates = F.col("measurement_date").isin(dates)
