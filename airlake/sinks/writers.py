@@ -112,17 +112,22 @@ def to_kafka_value(df: DataFrame, columns=None, key_col: str | None = None, keep
     return df.select(value)
 
 
+def producer_options(options: dict) -> dict:
+    """The producer side of reader options: connection and security settings
+    (``kafka.*``) only; subscription, offsets and rate limits are dropped."""
+    return {k: v for k, v in options.items() if k.startswith("kafka.")}
+
+
 def write_kafka(df: DataFrame, options: dict, topic: str, columns=None, key_col: str | None = None) -> None:
     """Publish rows as JSON records to a Kafka topic in one batch job (K6, K7).
 
     ``options`` come from :func:`airlake.sources.tables.kafka_options` (the
     subscription-only keys are dropped); each task writes its own partition's
     records, so nothing passes through the driver."""
-    producer_opts = {k: v for k, v in options.items() if k.startswith("kafka.")}
     (
         to_kafka_value(df, columns, key_col)
         .write.format("kafka")
-        .options(**producer_opts)
+        .options(**producer_options(options))
         .option("topic", topic)
         .save()
     )

@@ -205,3 +205,17 @@ def test_incremental_after_partitioned_full_run_and_refuses_unpartitioned(spark,
     got = spark.read.parquet(parted).drop("measurement_date")
     full = silver(_bronze(spark), fixtures.FIXTURE_AS_OF)
     assert got.count() == full.count() and got.exceptAll(full.select(*got.columns)).count() == 0
+
+
+def test_producer_options_keep_connection_and_security_only():
+    from airlake.sinks.writers import producer_options
+    from airlake.sources.tables import eventhub_kafka_options
+
+    opts = eventhub_kafka_options("ns", "hub", "send", "k", max_offsets_per_trigger=10)
+    prod = producer_options(opts)
+    assert set(prod) == {
+        "kafka.bootstrap.servers",
+        "kafka.security.protocol",
+        "kafka.sasl.mechanism",
+        "kafka.sasl.jaas.config",
+    }
