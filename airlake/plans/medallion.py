@@ -182,12 +182,17 @@ def run_silver_incremental(
     overwritten (dynamic partition overwrite). The touched dates are the one
     thing brought to the driver: a list bounded by the calendar days in the
     batch (not by rows), used as a static partition filter so the scan lists
-    and reads only those date folders. The merge is checkpointed first, so the
-    overwrite never reads the files it replaces. Returns the touched dates."""
+    and reads only those date folders. The validated batch is checkpointed
+    (read twice, computed once), and so is the merge, so the overwrite never
+    reads the files it replaces. Returns the touched dates."""
     ensure_checkpoint_dir(spark)
     new = read_table(spark, new_bronze, fmt) if isinstance(new_bronze, str) else new_bronze
-    fresh = valid_readings(flag_readings(key_filtered(typed_readings(new)), as_of)).withColumn(
-        "measurement_date", F.to_date("measurement_timestamp")
+    # validated once and checkpointed: the dates and the merge both read it, so a
+    # micro-batch is not read from its source and parsed twice
+    fresh = (
+        valid_readings(flag_readings(key_filtered(typed_readings(new)), as_of))
+        .withColumn("measurement_date", F.to_date("measurement_timestamp"))
+        .checkpoint(eager=True)
     )
     dates = sorted(r[0] for r in fresh.select("measurement_date").distinct().collect())
     if not dates:
