@@ -36,6 +36,7 @@ WEIGHTS = (5, 2, 1)
 PASSES = 3
 #: Documents in a range of the running sums, about.
 RANGE_ROWS = 8192
+SPOT_BITS = 60
 
 
 def size_of(text: Column) -> Column:
@@ -76,8 +77,11 @@ def source_targets(
 
 
 def spot_of(id_col: str, text_col: str) -> Column:
-    """Place of a document in the shuffled order."""
-    return F.xxhash64(F.col(id_col), F.col(text_col))
+    """Place of a document in the shuffled order: 60 bits of a hash."""
+    row = F.concat(
+        F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(" "), F.coalesce(F.col(text_col), F.lit(""))
+    )
+    return F.conv(F.substring(F.md5(row), 1, SPOT_BITS // 4), 16, 10).cast("long")
 
 
 def _ranges(rows: int) -> int:
@@ -111,7 +115,7 @@ def mix(
     finish time) and ``position`` (words of the mix up to and with it). Sorting
     by position gives the mix's order."""
     bits = _ranges(items.count())
-    cell = F.shiftrightunsigned("spot", 64 - bits) if bits else F.lit(0).cast("long")
+    cell = F.shiftright("spot", SPOT_BITS - bits)
     items = items.withColumn("words", F.col("size") * F.col("n")).withColumn("cell", cell)
     cells = items.groupBy("source", "cell").agg(F.sum("words").alias("cell_words"))
     targets = source_targets(
@@ -188,3 +192,46 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         .withColumn("_use", F.explode(F.sequence(F.lit(1).cast("long"), F.col("uses"))))
         .select(*docs.columns)
     )
+
+
+TAKEN_WORDS_SQL = r"""
+WITH items AS (
+  SELECT doc_id, source, size, spot, count(*) AS n FROM (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ' ' || coalesce(text, '')), 1, 15))::BIGINT AS spot
+    FROM documents)
+  GROUP BY ALL
+), totals AS (
+  SELECT source, sum(size * n)::BIGINT AS source_size,
+         row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place,
+         sum(sum(size * n)) OVER ()::DOUBLE AS budget
+  FROM items GROUP BY source
+), fills AS (
+  SELECT *, [5.0, 2.0, 1.0][place % 3 + 1]::DOUBLE AS weight, source_size * 3.0::DOUBLE AS cap FROM totals
+), steps AS (
+  SELECT *, cap / weight AS fill,
+         (budget - coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS step
+  FROM fills
+), targets AS (
+  SELECT source, source_size, place, budget,
+         least(cap, weight * (SELECT arg_min(step, (fill, place)) FROM steps WHERE fill >= step)) AS target
+  FROM steps
+), queued AS (
+  SELECT i.*, t.source_size, t.place, t.budget, t.target,
+         sum(size * n) OVER (PARTITION BY t.place ORDER BY spot, doc_id, size
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sent
+  FROM items i JOIN targets t ON i.source IS NOT DISTINCT FROM t.source
+), mix AS (
+  SELECT doc_id, source, spot, budget,
+         sum(size * n) OVER (ORDER BY (sent + pass * source_size)::DOUBLE / target, place, spot, doc_id, size, pass
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS position
+  FROM queued, (VALUES (0), (1), (2)) p(pass) WHERE size > 0
+), uses AS (
+  SELECT doc_id, source, spot, count(*) AS uses FROM mix WHERE position <= budget GROUP BY ALL
+)
+SELECT q.doc_id, q.size, q.source_size, q.target, (q.size * coalesce(u.uses, 0))::BIGINT AS taken
+FROM queued q
+LEFT JOIN uses u ON q.doc_id IS NOT DISTINCT FROM u.doc_id AND q.source IS NOT DISTINCT FROM u.source AND q.spot = u.spot,
+     unnest(range(q.n)) copies(copy)
+"""
