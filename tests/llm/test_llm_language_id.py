@@ -1,0 +1,89 @@
+"""Language identification: held-out accuracy, counts, and edge cases."""
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from airlake.llm import language_id
+from airlake.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_held_out_accuracy(spark):
+    docs = table(spark, SF, "documents")
+    got = language_id.language_predictions(docs).join(docs.select("doc_id", "lang"), "doc_id")
+    held = got.where("held_out").collect()
+    assert len(held) > 20
+    assert sum(r.lang == r.lang_pred for r in held) / len(held) >= 0.97
+    assert all(0 < r.score <= 1 for r in held)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got.collect())
+
+
+def test_predictions_do_not_see_the_language_column(spark):
+    docs = table(spark, SF, "documents")
+    hidden = docs.withColumn("lang", F.when(~language_id.held_out(), F.col("lang")))
+    a, b = ({r.doc_id: r.lang_pred for r in language_id.language_predictions(d).collect()} for d in (docs, hidden))
+    assert a == b
+
+
+ROWS = [
+    (1, "the cat and the dog", "en"), (3, "die katze und der hund", "de"), (4, None, "en"), (5, "", "de"),
+    (6, "123 !?", "en"), (7, "the dog", None), (None, "der hund", "fr"), (8, "der hund\n" * 50_000, None),
+    (8, "THE DOG", None), (9, "ß", None), (10, "日本", None),
+]
+
+
+def test_nulls_empty_long_and_repeated(spark):
+    docs = spark.createDataFrame([(*r, 0.5, "x") for r in ROWS], "doc_id long, text string, lang string, score double, counts string")
+    out = language_id.language_predictions(docs)
+    assert out.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    got = out.collect()
+    assert len(got) == len(ROWS)
+    und = [r for r in got if r.lang_pred == "und"]
+    assert {r.doc_id for r in und} == {4, 5, 6} and all(r.score == 0 for r in und)
+    assert {r.lang_pred for r in got} <= {"en", "de", "und"}  # a null id teaches nothing
+    assert {r.lang_pred for r in got if r.doc_id == 8} == {"de", "en"}
+    assert [r.held_out for r in got if r.doc_id is None] == [False]
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "text", None)], [(None, "text", "en")]])
+def test_nothing_to_learn_from(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert [(r.lang_pred, r.score) for r in language_id.language_predictions(docs).collect()] == [("und", 0.0)] * len(rows)
+
+
+def test_counts_are_those_of_all_rows(spark):
+    rows = [(t, l) for _, t, l in ROWS if l and t] * 40
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(7)
+    languages, logs, priors = language_id.train(docs)
+    hasher = language_id.Hasher(language_id.BUCKETS)
+    assert languages == ["de", "en", "fr"] and logs.shape == (language_id.BUCKETS, 3)
+    for k, name in enumerate(languages):
+        counts = np.zeros(language_id.BUCKETS)
+        for text, lang in rows:
+            codes = hasher.codes(text)
+            if lang == name and len(codes):
+                for b in hasher.all_buckets(codes):
+                    np.add.at(counts, b, 1)
+        total = counts.sum() + language_id.SMOOTHING * language_id.BUCKETS
+        assert np.allclose(logs[:, k], np.log((counts + language_id.SMOOTHING) / total))
+    assert np.allclose(np.exp(priors).sum(), 1)
+
+
+def test_chunks_of_a_long_text_have_the_same_ngrams(monkeypatch):
+    hasher, text = language_id.Hasher(language_id.BUCKETS), "alle meine entchen " * 100
+    whole = np.sort(np.concatenate(list(hasher.all_buckets(hasher.codes(text)))))
+    monkeypatch.setattr(language_id, "CHUNK_CHARS", 17)
+    assert (np.sort(np.concatenate(list(hasher.all_buckets(hasher.codes(text))))) == whole).all()
+
+
+def test_the_matrix_keeps_within_its_bound(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_MATRIX_BYTES", 3 * 8 * 4096)
+    docs = spark.createDataFrame([(t, l) for _, t, l in ROWS], "text string, lang string")
+    assert language_id.train(docs)[1].nbytes <= 3 * 8 * 4096
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError):
+        language_id.train(docs)

@@ -1,0 +1,76 @@
+"""The line-chain CRF: exact marginals, gradients, and held-out quality."""
+
+import itertools
+import zlib
+
+import numpy as np
+import pytest
+
+from airlake.llm import quality
+from airlake.llm.common import table
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("n", [1, 2, 5])
+def test_marginals_equal_the_sum_over_all_labellings(n):
+    rng = np.random.default_rng(n)
+    odds, links = rng.normal(size=n) * 3, rng.normal(size=(2, 2))
+    weight, good = 0.0, np.zeros(n)
+    for labels in itertools.product((0, 1), repeat=n):
+        s = sum(o for o, y in zip(odds, labels, strict=True) if y) + sum(links[a, b] for a, b in zip(labels, labels[1:], strict=False))
+        weight += np.exp(s)
+        good += np.exp(s) * np.array(labels)
+    assert np.allclose(quality.marginals(odds, links), good / weight)
+
+
+def test_long_chains_stay_finite():
+    rng = np.random.default_rng(0)
+    got = quality.marginals(rng.normal(size=200_000) * 30, np.array([[9.0, -9], [-9, 9]]))
+    assert np.isfinite(got).all() and (got >= 0).all() and (got <= 1).all()
+
+
+def test_fit_raises_the_likelihood_of_its_labels():
+    rng = np.random.default_rng(1)
+    labels = [int(i % 3 > 0) for i in range(60)]
+    chains = [rng.normal(size=(rng.integers(1, 9), 3 * quality.N_OWN)) + 0.4 * y for y in labels]
+    weights, links = quality.fit(chains, labels)
+    right = [quality.marginals(c @ weights, links).mean() > 0.5 for c in chains]
+    assert np.mean(np.array(right) == np.array(labels, dtype=bool)) > 0.9
+
+
+def test_held_out_documents(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    out = quality.quality_scores(docs, labels)
+    assert out.columns == ["doc_id", "held_out", "score", "predicted"]
+    got = out.join(labels, "doc_id").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+    assert all(r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1 for r in got)
+    held = [r for r in got if r.held_out]
+    good, bad = ([r.score for r in held if r.quality == q] for q in (1, 0))
+    assert np.mean([g > b for g in good for b in bad]) > 0.95
+    assert np.mean([r.predicted == r.quality for r in held]) > 0.95
+    kept = quality.keep_good(docs, labels)
+    assert kept.columns == docs.columns and kept.count() == out.where("predicted = 1").count()
+
+
+def test_scores_come_from_the_text_alone(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    a = {r.doc_id: r.score for r in quality.quality_scores(docs, labels).collect()}
+    shuffled = docs.selectExpr("doc_id", "text", "'xx' as lang", "null as source").repartition(5)
+    changed = labels.selectExpr("doc_id", "if(crc32(cast(doc_id as string)) % 5 = 0, 1 - quality, quality) as quality")
+    b = {r.doc_id: r.score for r in quality.quality_scores(shuffled, changed).collect()}
+    assert a == pytest.approx(b, abs=1e-12)
+
+
+def test_nulls_empty_long_repeated_and_missing_labels(spark):
+    rows = [(1, None), (2, ""), (3, "a line\n" * 30_000), (3, "a line"), (None, "|||| ####")]
+    docs = spark.createDataFrame([(i, t, 9.0, "z") for i, t in rows], "doc_id long, text string, score double, x string")
+    known = spark.createDataFrame([(1, 1), (3, None), (None, 0), (2, 0), (2, 1), (77, 0)], "doc_id long, quality int")
+    got = quality.quality_scores(docs, known).collect()
+    assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id in (1, 2)}) == 1
+    assert [r.held_out for r in got if r.doc_id is None] == [False]
+    none = quality.quality_scores(docs, known.limit(0)).collect()
+    assert {r.score for r in none} == {0.5}
+    assert quality.quality_scores(docs.limit(0), known).collect() == []
