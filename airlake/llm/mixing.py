@@ -34,8 +34,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 #: Times a document is used at most.
 PASSES = 3
-#: Documents in a range of the running sums, about.
-RANGE_ROWS = 8192
+#: Documents in a range of the running sums, about: of a source, where one source may
+#: hold a large share of every range, and of the global order.
+CELL_ROWS, RANGE_ROWS = 1024, 8192
 SPOT_BITS = 60
 
 
@@ -84,9 +85,9 @@ def spot_of(id_col: str, text_col: str) -> Column:
     return F.conv(F.substring(F.md5(row), 1, SPOT_BITS // 4), 16, 10).cast("long")
 
 
-def _ranges(rows: int) -> int:
-    """Bits of a range number for so many rows."""
-    return max(0, (max(1, rows) // RANGE_ROWS).bit_length())
+def _range_bits(rows: int, each: int) -> int:
+    """Bits of a range number for ranges of so many rows."""
+    return (rows // each).bit_length()
 
 
 def queue_items(
@@ -114,8 +115,8 @@ def mix(
     An entry is one pass over an item: doc_id, spot, pass, ``finish`` (virtual
     finish time) and ``position`` (words of the mix up to and with it). Sorting
     by position gives the mix's order."""
-    bits = _ranges(items.count())
-    cell = F.shiftright("spot", SPOT_BITS - bits)
+    rows = items.count()
+    cell = F.shiftright("spot", SPOT_BITS - _range_bits(rows, CELL_ROWS))
     items = items.withColumn("words", F.col("size") * F.col("n")).withColumn("cell", cell)
     cells = items.groupBy("source", "cell").agg(F.sum("words").alias("cell_words"))
     targets = source_targets(
@@ -130,7 +131,7 @@ def mix(
     inside = Window.partitionBy("source", "cell").orderBy("spot", "doc_id", "size")
     run = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     queued = planned.where("words > 0").withColumn("sent", F.col("offset") + F.sum("words").over(run))
-    spans = 1 << bits
+    spans = 1 << _range_bits(rows, RANGE_ROWS)
     entries = (
         queued.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))))
         .withColumn("finish", (F.col("sent") + F.col("pass") * F.col("source_size")) / F.col("target"))

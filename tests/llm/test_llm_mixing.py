@@ -72,6 +72,7 @@ ROWS = [(i, f"s{i % 7}" if i % 11 else None, " ".join("w" * (1 + k % 3) for k in
 @pytest.mark.parametrize("range_rows", [8192, 4])
 def test_equals_the_plain_rules(spark, monkeypatch, range_rows):
     monkeypatch.setattr(mixing, "RANGE_ROWS", range_rows)
+    monkeypatch.setattr(mixing, "CELL_ROWS", range_rows)
     rows = ROWS + [(500, "big", "x\ty\x0bz " * 4000), (501, "none", None), (502, "s1", ""), (503, "s1", "é é b")]
     got = mixing.taken_words(frame(spark, rows)).select("doc_id", "size", "source_size", "target", "taken").collect()
     want = {r[0]: r for r in brute(rows)}
