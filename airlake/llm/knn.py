@@ -1,7 +1,7 @@
 """Exact top-k by inner product with a Voronoi join.
 
-Vectors become integers, floor(64 x). Pivots are drawn from the queries and
-every query belongs to its nearest pivot's group. Two summaries bound what a
+Vectors become integers, floor(64 x). Pivots are drawn from the queries, as many as a
+cost estimate on a sample finds best, and every query belongs to its nearest pivot's group. Two summaries bound what a
 group can need: its radius R (largest distance of a query from the pivot p),
 and the (k + 1) largest lower bounds p.x - R |x| over all data. As
 q.x = p.x + (q - p).x, every query of the group has at least k other rows that
@@ -31,11 +31,12 @@ from airlake.llm.common import materialize
 TOP = 20
 QUERY_EVERY = 20
 SCALE = 64.0
-#: Queries wanted in a group, and the most pivots (they are broadcast).
-GROUP_QUERIES = 256
-MAX_PIVOTS = 1024
+#: The most pivots (they are broadcast), and the sample that their number is chosen on.
+MAX_PIVOTS, SAMPLE_ROWS = 1024, 2048
+#: Estimated cost of sending a row to a group, in inner products.
+ROW_COST = 500
 #: Rows of a chunk of queries and of a chunk of data.
-QUERY_CHUNK, DATA_CHUNK = 512, 8192
+QUERY_CHUNK, DATA_CHUNK = 4096, 8192
 #: Relative slack of bounds for rounding in floating point.
 SLACK = 1e-9
 LIMITS = (-(1 << 63), (1 << 63) - 1)
@@ -107,6 +108,70 @@ def best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], ~scores[at]))][:k]
 
 
+class LocalBest:
+    """The k best rows so far of each query of a cell."""
+
+    def __init__(self, k: int):
+        self.k, self.queries, self.ids, self.keys = k, [], [], []
+        self.found: list[tuple[np.ndarray, np.ndarray]] | None = None
+
+    def ask(self, vectors: np.ndarray, ids: np.ndarray, keys: np.ndarray) -> None:
+        self.queries.append(vectors)
+        self.ids.append(ids)
+        self.keys.append(keys)
+
+    def tell(self, vectors: np.ndarray, ids: np.ndarray) -> None:
+        if not self.queries:
+            return
+        if self.found is None:
+            self.asked, self.own = np.concatenate(self.queries), np.concatenate(self.ids)
+            none = np.empty(0, dtype=np.int64)
+            self.found = [(none, none)] * len(self.own)
+            self.least = np.full(len(self.own), LIMITS[0])
+        for at in range(0, len(vectors), 1024):
+            some = ids[at : at + 1024]
+            scores = inner_products(self.asked, vectors[at : at + 1024])
+            # only queries that the block can improve (or tie with) are looked at
+            for q in np.flatnonzero(scores.max(axis=1) >= self.least):
+                s, i = (np.concatenate(x) for x in zip(self.found[q], (scores[q], some), strict=True))
+                top = best(s, i, self.own[q], self.k)
+                self.found[q] = s[top], i[top]
+                if len(top) == self.k:
+                    self.least[q] = s[top[-1]]
+
+    def result(self):
+        if self.found is None:
+            return
+        n = [len(s) for s, _ in self.found]
+        keys = np.concatenate(self.keys)
+        scores, ids = (np.concatenate(x) for x in zip(*self.found, strict=True))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(self.own, n)), pa.array(np.repeat(keys, n)), pa.array(ids), pa.array(scores)],
+            names=["query_id", "query", "vec_id", "score"],
+        )
+
+
+def pivot_count(queries: np.ndarray, rows: np.ndarray, asked: int, stored: int, k: int) -> int:
+    """Number of pivots of least estimated cost, from samples of both sides.
+
+    More pivots make smaller groups with tighter bounds, but each group costs a
+    copy of every row that its bounds cannot exclude. The cost of a copy is
+    ``ROW_COST`` inner products."""
+    costs, many = {}, 1
+    while many <= min(MAX_PIVOTS, asked, len(queries)):
+        pivots = queries[:many].astype(np.float64)
+        group, distance = nearest(queries, pivots)
+        radius = np.array([distance[group == g].max(initial=0) for g in range(many)])
+        lower, upper = group_bounds(rows, pivots, radius)
+        rank = min(len(rows), max(1, round((k + 1) * len(rows) / stored)))
+        theta = np.sort(lower, axis=0)[-rank]
+        passed = (upper >= theta).mean(axis=0)
+        members = np.bincount(group, minlength=many) / len(queries) * asked
+        costs[many] = float((passed * (np.ceil(members / QUERY_CHUNK) * ROW_COST + members)).sum())
+        many *= 4
+    return min(costs, key=costs.get, default=1)
+
+
 def _route(rows: DataFrame, pivots, radius, theta, dim: int) -> DataFrame:
     """(vec_id, v, grp) for each group that may need the row."""
     shared = rows.sparkSession.sparkContext.broadcast((pivots, radius, theta))
@@ -163,6 +228,15 @@ def _summary(tops: dict[int, np.ndarray]) -> pa.RecordBatch:
     )
 
 
+def _sample(rows: DataFrame, dim: int) -> np.ndarray:
+    """SAMPLE_ROWS vectors at most, those with the lowest hashes."""
+    drawn = rows.orderBy(F.xxhash64(F.lit(7), "vec_id", "v"), "vec_id").limit(SAMPLE_ROWS).select("v").collect()
+    out = np.zeros((len(drawn), dim), dtype=np.int64)
+    for i, r in enumerate(drawn):
+        out[i, : len(r["v"])] = r["v"]
+    return out
+
+
 def top_k(queries: DataFrame, rows: DataFrame, k: int = TOP) -> DataFrame:
     """(query_id, rank, vec_id, score): of each query (vec_id, v) the ``k``
     rows (vec_id, v) of highest score. Both inputs are read several times, so
@@ -171,11 +245,9 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = TOP) -> DataFrame:
     asked = queries.count()
     dim = rows.agg(F.max(F.size("v"))).first()[0] or 0
     dim = max(dim, queries.agg(F.max(F.size("v"))).first()[0] or 0, 1)
-    wanted = min(MAX_PIVOTS, -(-asked // GROUP_QUERIES))
-    drawn = queries.orderBy(F.xxhash64(F.lit(7), "vec_id", "v")).limit(max(1, wanted)).select("v").collect()
-    pivots = np.zeros((max(1, len(drawn)), dim))
-    for i, r in enumerate(drawn):
-        pivots[i, : len(r["v"])] = r["v"]
+    drawn, sampled = _sample(queries, dim), _sample(rows, dim)
+    many = pivot_count(drawn, sampled, asked, rows.count(), k) if len(drawn) and len(sampled) else 1
+    pivots = drawn[:many].astype(np.float64) if len(drawn) else np.zeros((1, dim))
     shared = rows.sparkSession.sparkContext.broadcast(pivots)
 
     def assign(batches):
@@ -222,7 +294,7 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = TOP) -> DataFrame:
     cells = asking.unionByName(told).repartition("grp", "a", "b").sortWithinPartitions("grp", "a", "b", "side")
 
     def solve(batches):
-        cell, asked, ids, keys = None, None, None, None
+        cell, held = None, None
         for batch in batches:
             grp, a, b, side = (batch.column(n).to_numpy() for n in ("grp", "a", "b", "side"))
             new = np.zeros(batch.num_rows, dtype=bool)
@@ -233,18 +305,17 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = TOP) -> DataFrame:
                 if lo == hi:
                     continue
                 part, here = batch.slice(lo, hi - lo), (grp[lo], a[lo], b[lo])
-                vectors, vec_ids = matrix(part.column("v"), dim), part.column("vec_id").to_numpy()
+                if cell != here:
+                    if held is not None:
+                        yield from held.result()
+                    cell, held = here, LocalBest(k)
+                vectors, ids = matrix(part.column("v"), dim), part.column("vec_id").to_numpy()
                 if side[lo] == 0:
-                    if cell != here:
-                        cell, asked, ids, keys = here, vectors, vec_ids, part.column("query").to_numpy()
-                    else:
-                        asked = np.concatenate((asked, vectors))
-                        ids = np.concatenate((ids, vec_ids))
-                        keys = np.concatenate((keys, part.column("query").to_numpy()))
-                elif cell == here:
-                    for at in range(0, len(vectors), 4096):
-                        scores = inner_products(asked, vectors[at : at + 4096])
-                        yield _found(scores, ids, keys, vec_ids[at : at + 4096], k)
+                    held.ask(vectors, ids, part.column("query").to_numpy())
+                else:
+                    held.tell(vectors, ids)
+        if held is not None:
+            yield from held.result()
 
     local = cells.mapInArrow(solve, "query_id bigint, query bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
@@ -255,17 +326,6 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = TOP) -> DataFrame:
     )
 
 
-def _found(scores: np.ndarray, ids: np.ndarray, keys: np.ndarray, vec_ids: np.ndarray, k: int) -> pa.RecordBatch:
-    at = [best(s, vec_ids, i, k) for s, i in zip(scores, ids, strict=True)]
-    n = [len(x) for x in at]
-    flat = np.concatenate(at) if at else np.empty(0, dtype=np.int64)
-    row = np.repeat(np.arange(len(ids)), n)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids[row]), pa.array(keys[row]), pa.array(vec_ids[flat]), pa.array(scores[row, flat])],
-        names=["query_id", "query", "vec_id", "score"],
-    )
-
-
 def nearest_embeddings(embeddings: DataFrame) -> DataFrame:
     """Top 20 of every row whose vec_id is divisible by 20, among all rows."""
     rows = materialize(quantised(embeddings), "knn-rows")

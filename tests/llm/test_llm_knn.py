@@ -42,15 +42,17 @@ def vectors(n, dim, seed, spread=1.0):
 @pytest.mark.parametrize("spread", [0.05, 1.0])
 @pytest.mark.parametrize("chunks", [(512, 8192), (3, 40)])
 def test_equals_brute_force(spark, monkeypatch, spread, chunks):
-    monkeypatch.setattr(knn, "GROUP_QUERIES", 4)
+    monkeypatch.setattr(knn, "pivot_count", lambda *a: 5)
     monkeypatch.setattr(knn, "QUERY_CHUNK", chunks[0])
     monkeypatch.setattr(knn, "DATA_CHUNK", chunks[1])
     rows = vectors(400, 8, 1, spread)
     assert run(spark, rows) == brute(rows)
 
 
-def test_nulls_ties_copies_and_odd_vectors(spark, monkeypatch):
-    monkeypatch.setattr(knn, "GROUP_QUERIES", 2)
+@pytest.mark.parametrize("pivots", [None, 4])
+def test_nulls_ties_copies_and_odd_vectors(spark, monkeypatch, pivots):
+    if pivots:
+        monkeypatch.setattr(knn, "pivot_count", lambda *a: pivots)
     same = [0.5, -0.25, 1.0]
     rows = vectors(60, 3, 2) + [(i, same) for i in range(100, 240)]
     rows += [(300, None), (301, [1.0, None, 2.0]), (302, [math.inf, 0.0, 0.0]), (303, [math.nan, 0.0, 0.0]), (None, same)]
@@ -74,14 +76,13 @@ def test_too_few_rows(spark, rows):
 
 def test_groups_get_only_rows_that_they_may_need(spark, monkeypatch):
     """Tight clusters: most rows are pruned by the bounds, none that count."""
-    monkeypatch.setattr(knn, "GROUP_QUERIES", 4)
+    monkeypatch.setattr(knn, "pivot_count", lambda *a: 15)
     sent = []
     route = knn._route
     monkeypatch.setattr(knn, "_route", lambda *a: sent.append(route(*a)) or sent[-1])
     rows = vectors(1200, 6, 4, 0.02)
     assert run(spark, rows) == brute(rows)
-    pivots = -(-60 // 4)
-    assert sent[0].count() < 0.5 * pivots * 1200
+    assert sent[0].count() < 0.5 * 15 * 1200
 
 
 def test_bounds_hold():
@@ -100,3 +101,12 @@ def test_materialised_inputs_are_enough(spark):
     rows = materialize(knn.quantised(frame(spark, vectors(50, 4, 6))), "knn-test")
     got = knn.top_k(rows.where("vec_id = 7"), rows, 3).collect()
     assert [r.rank for r in sorted(got)] == [1, 2, 3]
+
+
+def test_pivots_are_many_where_bounds_exclude_and_few_where_they_cannot():
+    rng = np.random.default_rng(7)
+    centres = rng.integers(-2000, 2000, (16, 8))
+    tight = (centres[rng.integers(0, 16, 2000)] + rng.integers(-5, 6, (2000, 8))).astype(np.int64)
+    loose = rng.integers(-64, 64, (2000, 32))
+    assert knn.pivot_count(tight[:500], tight, 100_000, 10**6, 20) > 4
+    assert knn.pivot_count(loose[:500], loose, 2000, 40_000, 20) == 1
