@@ -45,8 +45,13 @@ def to_wallclock(c) -> Column:
 
 
 def to_utc_wallclock(c) -> Column:
-    """TIMESTAMP (instant) -> TIMESTAMP_NTZ holding its UTC wall clock."""
-    return F.convert_timezone(None, F.lit("UTC"), _col(c).cast("timestamp_ntz"))
+    """TIMESTAMP (instant) -> TIMESTAMP_NTZ holding its UTC wall clock.
+
+    Counted from the epoch in microseconds: going through the session zone's
+    wall clock would give the two instants of a repeated hour (clocks going
+    back) the same text."""
+    seconds = (F.unix_micros(_col(c)).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def as_of_column(as_of=None) -> Column:

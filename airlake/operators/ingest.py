@@ -1,25 +1,32 @@
 """Ingestion: validate API responses and flatten hourly arrays into events.
 
-Responses arrive as JSON text, one row per (city, fetch). Validation runs on
-the untyped VARIANT form, because a typed parse turns "absent", "null" and
-"wrong type" into the same NULL. Rules, first failure wins:
+Responses arrive as JSON text, one row per (city, fetch). The text is parsed
+once, to an untyped VARIANT: a typed parse turns "absent", "null" and "wrong
+type" into the same NULL, and would drop a whole array for one bad element.
+Rules, first failure wins:
 
-1. ``missing_hourly``        ``hourly`` is not an object (or the text is not JSON)
-2. ``missing_fields``        a required field is absent (present-but-null is *not* missing)
-3. ``non_array_fields``      a required field is not an array (null, string, number...)
-4. ``empty_time``            ``time`` has no entries
-5. ``inconsistent_lengths``  arrays differ in length (NULL elements count)
+1. ``malformed_json``        the text is not JSON that VARIANT accepts. Bare ``NaN`` and
+                             repeated keys count as malformed here, although lenient
+                             parsers take them
+2. ``missing_hourly``        ``hourly`` is not an object (or there is no text)
+3. ``missing_fields``        a required field is absent (present-but-null is *not* missing)
+4. ``non_array_fields``      a required field is not an array (null, string, number...)
+5. ``empty_time``            ``time`` has no entries
+6. ``inconsistent_lengths``  arrays differ in length (NULL elements count)
+7. ``unknown_city``          the city dimension has no such city (where one is given)
 
-Flattening needs rule 5: ``arrays_zip`` would silently pad a short array.
+Flattening needs rule 6: ``arrays_zip`` would silently pad a short array.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlake.functions.timestamps import iso_utc_text
-from airlake.schemas import EVENT_COLUMNS, REQUIRED_HOURLY_FIELDS, RESPONSE_SCHEMA, SOURCE_NAME
+from airlake.functions.timestamps import iso_utc_text, to_utc_wallclock
+from airlake.schemas import CITY_COLUMNS, EVENT_COLUMNS, MEASURES, REQUIRED_HOURLY_FIELDS, SOURCE_NAME
 
 
 def _field(hourly: Column, name: str, target: str) -> Column:
@@ -31,14 +38,18 @@ def _joined_names(conds: dict[str, Column]) -> Column:
     return F.concat_ws(",", *[F.when(c, F.lit(n)) for n, c in conds.items()])
 
 
-def validate_responses(df: DataFrame, json_col: str = "response_json") -> DataFrame:
-    """Add ``reject_reason`` (NULL = valid) and ``reject_fields`` (the offending
-    fields for rules 2 and 3) (I3a-I3e)."""
-    # parse once into a column behind a Generate node, so a later filter on
-    # the verdict cannot be rewritten into repeated parses of the text
-    hourly_v = F.try_variant_get(F.try_parse_json(F.col(json_col)), "$.hourly", "variant")
-    staged = df.select("*", F.inline(F.array(F.struct(hourly_v.alias("_h")))))
+def _parsed_once(df: DataFrame, json_col: str) -> DataFrame:
+    """Add ``_doc`` (the parsed text) and ``_h`` (its ``hourly``) behind Generate
+    nodes, so later filters cannot be rewritten into repeated parses."""
+    staged = df.select("*", F.inline(F.array(F.struct(F.try_parse_json(F.col(json_col)).alias("_doc")))))
+    hourly = F.try_variant_get(F.col("_doc"), "$.hourly", "variant")
+    return staged.select("*", F.inline(F.array(F.struct(hourly.alias("_h")))))
+
+
+def _verdict(json_col: str) -> tuple[Column, Column]:
+    """(reject_reason, reject_fields) of a row with ``_doc`` and ``_h``."""
     hourly = F.col("_h")
+    malformed = F.col(json_col).isNotNull() & F.col("_doc").isNull()
     is_object = F.coalesce(F.try_variant_get(hourly, "$", "map<string,variant>").isNotNull(), F.lit(False))
     missing = {f: _field(hourly, f, "variant").isNull() for f in REQUIRED_HOURLY_FIELDS}
     non_array = {f: _field(hourly, f, "array<variant>").isNull() for f in REQUIRED_HOURLY_FIELDS}
@@ -47,7 +58,8 @@ def validate_responses(df: DataFrame, json_col: str = "response_json") -> DataFr
     any_non_array = F.greatest(*non_array.values())
     unequal = F.greatest(*sizes) != F.least(*sizes)
     reason = (
-        F.when(~is_object, F.lit("missing_hourly"))
+        F.when(malformed, F.lit("malformed_json"))
+        .when(~is_object, F.lit("missing_hourly"))
         .when(any_missing, F.lit("missing_fields"))
         .when(any_non_array, F.lit("non_array_fields"))
         .when(sizes[0] == 0, F.lit("empty_time"))
@@ -58,11 +70,40 @@ def validate_responses(df: DataFrame, json_col: str = "response_json") -> DataFr
         .when(any_missing, _joined_names(missing))
         .when(any_non_array, _joined_names(non_array))
     )
-    return staged.select(
-        *df.columns,
-        reason.alias("reject_reason"),
-        fields.cast("string").alias("reject_fields"),
-    )
+    return reason, fields.cast("string")
+
+
+def _with_cities(df: DataFrame, cities: DataFrame, city_key: str) -> DataFrame:
+    """Left join of the city dimension as ``_city_*`` columns; Spark chooses the
+    join by the dimension's measured size."""
+    dim = cities.select(*[F.col(c).alias(f"_city_{c}") for c in CITY_COLUMNS])
+    return df.join(dim, df[city_key] == dim["_city_city_id"], "left")
+
+
+def validate_responses(
+    df: DataFrame, json_col: str = "response_json", cities: DataFrame | None = None, city_key: str = "city_id"
+) -> DataFrame:
+    """Add ``reject_reason`` (NULL = valid) and ``reject_fields`` (the offending
+    fields for rules 3 and 4) (I3a-I3e). ``cities`` adds rule 7."""
+    reason, fields = _verdict(json_col)
+    staged = _parsed_once(df, json_col)
+    if cities is not None:
+        staged = _with_cities(staged, cities, city_key)
+        reason = F.coalesce(reason, F.when(F.col("_city_city_id").isNull(), F.lit("unknown_city")))
+    return staged.select(*df.columns, reason.alias("reject_reason"), fields.alias("reject_fields"))
+
+
+def _element(field: str, value: Column) -> Column:
+    """One array element as the event's type. An element of another JSON type
+    is NULL for its hour only, the way Bronze reads a mistyped field: a number
+    with a fraction or a quoted number is no integer."""
+    kind = F.schema_of_variant(value)
+    if field == "time":
+        return F.try_variant_get(value, "$", "string")
+    if field == "european_aqi":
+        return F.when(kind == "BIGINT", F.try_variant_get(value, "$", "int"))
+    number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    return F.when(number, F.try_variant_get(value, "$", "double"))
 
 
 def flatten_hourly(
@@ -71,42 +112,36 @@ def flatten_hourly(
     json_col: str = "response_json",
     ingestion_col: str = "ingestion_timestamp_utc",
     city_key: str = "city_id",
-    broadcast_cities: bool = False,
 ) -> DataFrame:
     """Valid responses -> one event row per hourly entry.
 
     Element ``i`` of every array becomes row ``i``; the city's attributes are
     joined from ``cities`` (city_id, city, country, latitude, longitude);
     ``source`` is the API name. Invalid responses are skipped (see
-    :func:`validate_responses` for the reasons). Pass ``broadcast_cities=True``
-    only for a dimension of known small size; otherwise AQE chooses.
+    :func:`validate_responses` for the reasons; pass it ``cities`` to see unknown ones).
     If ``ingestion_col`` is absent, the ingestion time is the query's
     ``current_timestamp()`` in UTC.
     """
-    checked = validate_responses(responses, json_col).where(F.col("reject_reason").isNull())
+    reason, _ = _verdict(json_col)
     ingestion = (
         F.col(ingestion_col)
         if ingestion_col in responses.columns
-        else iso_utc_text(F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz")))
+        else iso_utc_text(to_utc_wallclock(F.current_timestamp()))
     )
-    parsed = checked.select(
-        F.col(city_key).alias("_city_id"),
-        ingestion.alias("ingestion_timestamp_utc"),
-        F.from_json(F.col(json_col), RESPONSE_SCHEMA)["hourly"].alias("h"),
+    valid = _parsed_once(responses, json_col).where(reason.isNull()).select(
+        F.col(city_key).alias("_city"), ingestion.alias("ingestion_timestamp_utc"), F.col("_h")
     )
-    dim = F.broadcast(cities) if broadcast_cities else cities
     # join one row per response (before the explode) with the dimension
-    joined = parsed.join(dim, parsed["_city_id"] == dim["city_id"], "inner").drop("_city_id")
+    joined = _with_cities(valid, cities, "_city").where(F.col("_city_city_id").isNotNull())
+    arrays = [
+        F.transform(_field(F.col("_h"), name, "array<variant>"), partial(_element, name)).alias(
+            "measurement_timestamp" if name == "time" else name
+        )
+        for name in ("time", *MEASURES)
+    ]
     rows = joined.select(
-        "*",
-        F.inline(
-            F.arrays_zip(
-                F.col("h.time").alias("measurement_timestamp"),
-                F.col("h.european_aqi").alias("european_aqi"),
-                F.col("h.pm10").alias("pm10"),
-                F.col("h.pm2_5").alias("pm2_5"),
-                F.col("h.nitrogen_dioxide").alias("nitrogen_dioxide"),
-            )
-        ),
+        *[F.col(f"_city_{c}").alias(c) for c in CITY_COLUMNS],
+        "ingestion_timestamp_utc",
+        F.inline(F.arrays_zip(*arrays)),
     ).withColumn("source", F.lit(SOURCE_NAME))
     return rows.select(*EVENT_COLUMNS)

@@ -42,31 +42,19 @@ MOD_EMPTY_RESPONSE = 19
 MOD_DROP_AQI_FIELD = 17
 MOD_NULL_PM10_FIELD = 13
 MOD_SHORT_PM10_ARRAY = 11
+MOD_BAD_ELEMENT = 7
+BAD_ELEMENT = "n/a"
 TRUNCATED_RESPONSE = '{"hourly": {"time": ['
 # Default "now" for reproducible Silver runs over the fixture.
 FIXTURE_AS_OF = "2025-01-01 00:00:00"
+# An earlier "now", before half of the fixture's measurements.
+EARLY_AS_OF = "2024-01-15 12:00:00"
 # --- end of fixed values ----------------------------------------------------
 
 
-def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Read one test table.
-
-    The test tables are single files with one row group, which Spark can only
-    read as one task; every per-row step after the scan (JSON encode/parse)
-    would then run on one core. With ``spread`` a table stored in fewer files
-    than the session's default parallelism is redistributed round-robin to
-    that parallelism. A lake table at scale is stored in many files (at least
-    one per writer task), so there this is a no-op and adds no shuffle. The
-    file count comes from the file listing (``inputFiles``), not a job.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if not spread:
-        return df
-    try:
-        target = spark.sparkContext.defaultParallelism
-    except Exception:  # pragma: no cover - Spark Connect: no SparkContext on the client
-        return df
-    return df.repartition(target) if len(df.inputFiles()) < target else df
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _every(n: int) -> Column:
@@ -197,6 +185,11 @@ def hourly_responses(events: DataFrame, cities: str = "reference") -> DataFrame:
     null_pm10 = {**arrays, "pm10": F.lit(None).cast("array<double>")}
     short_pm10 = {**arrays, "pm10": F.slice(arrays["pm10"], 1, F.size(arrays["pm10"]) - 1)}
 
+    # one element of another type: the first hour's AQI becomes a string
+    bad_element = F.regexp_replace(
+        response(arrays), r'("european_aqi":\[)-?[0-9]+', f'$1"{BAD_ELEMENT}"'
+    )
+
     k = F.datediff(F.col("response_date"), F.lit(RESPONSE_DAY_ZERO).cast("date")) * 31 + F.col("city_id")
     text = (
         F.when(k % MOD_CORRUPT_RESPONSE == 0, F.lit(TRUNCATED_RESPONSE))
@@ -204,6 +197,7 @@ def hourly_responses(events: DataFrame, cities: str = "reference") -> DataFrame:
         .when(k % MOD_DROP_AQI_FIELD == 0, response(no_aqi))
         .when(k % MOD_NULL_PM10_FIELD == 0, response(null_pm10, keep_nulls=True))
         .when(k % MOD_SHORT_PM10_ARRAY == 0, response(short_pm10))
+        .when(k % MOD_BAD_ELEMENT == 0, bad_element)
         .otherwise(response(arrays))
     )
     return daily.select(

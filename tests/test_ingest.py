@@ -1,114 +1,123 @@
-"""Response validation and flattening (reference tests restated on DataFrames)."""
+"""Response validation and flattening, written from the rule list of the operator."""
 
 import json
 
-from pyspark.sql import Row
+import pytest
 
 from airlake.operators.ingest import flatten_hourly, validate_responses
+from airlake.schemas import REQUIRED_HOURLY_FIELDS
 from airlake.sources.tables import city_dimension
 
-
-def make_api_response():
-    return {
-        "hourly": {
-            "time": ["2026-07-10T00:00", "2026-07-10T01:00"],
-            "nitrogen_dioxide": [20.0, 21.0],
-            "pm10": [30.0, 31.0],
-            "pm2_5": [15.0, 16.0],
-            "european_aqi": [40, 42],
-        }
-    }
-
-
-def responses(spark, *texts):
-    return spark.createDataFrame(
-        [Row(city_id=1, response_id=i, response_json=t) for i, t in enumerate(texts)],
-        "city_id int, response_id int, response_json string",
-    )
-
-
-def reasons(spark, *texts):
-    out = validate_responses(responses(spark, *texts)).orderBy("response_id").collect()
-    return [(r.reject_reason, r.reject_fields) for r in out]
-
-
-def test_flatten_builds_one_row_per_hour(spark):
-    df = responses(spark, json.dumps(make_api_response())).withColumn(
-        "ingestion_timestamp_utc", __import__("pyspark.sql.functions", fromlist=["lit"]).lit("2026-07-10T10:00:00+00:00")
-    )
-    rows = flatten_hourly(df, city_dimension(spark), broadcast_cities=True).orderBy("measurement_timestamp").collect()
-    assert len(rows) == 2
-    first = rows[0]
-    assert first.city_id == 1
-    assert first.city == "Athens"
-    assert first.country == "Greece"
-    assert first.latitude == 37.9838 and first.longitude == 23.7275
-    assert first.measurement_timestamp == "2026-07-10T00:00"
-    assert first.european_aqi == 40
-    assert first.pm10 == 30.0
-    assert first.source == "openmeteo"
-    assert first.ingestion_timestamp_utc == "2026-07-10T10:00:00+00:00"
-    assert rows[1].european_aqi == 42 and rows[1].nitrogen_dioxide == 21.0
-
-
-def test_valid_response_has_no_reason(spark):
-    assert reasons(spark, json.dumps(make_api_response())) == [(None, None)]
-
-
-def test_rejects_inconsistent_array_lengths(spark):
-    r = make_api_response()
-    r["hourly"]["pm10"] = [30.0]
-    assert reasons(spark, json.dumps(r)) == [("inconsistent_lengths", None)]
-
-
-def test_rejects_missing_hourly_field(spark):
-    r = make_api_response()
-    del r["hourly"]["european_aqi"]
-    assert reasons(spark, json.dumps(r)) == [("missing_fields", "european_aqi")]
-
-
-def test_rule_order_and_edge_cases(spark):
-    r = make_api_response()
-    null_field = json.loads(json.dumps(r))
-    null_field["hourly"]["pm10"] = None
-    str_field = json.loads(json.dumps(r))
-    str_field["hourly"]["pm2_5"] = "[1,2]"
-    empty = {"hourly": {k: [] for k in r["hourly"]}}
-    two_missing = json.loads(json.dumps(r))
-    del two_missing["hourly"]["time"], two_missing["hourly"]["pm10"]
-    null_elem = json.loads(json.dumps(r))
-    null_elem["hourly"]["pm10"] = [None, 31.0]
-    got = reasons(
-        spark,
-        "not json {",
-        json.dumps({"other": 1}),
-        json.dumps({"hourly": "text"}),
-        json.dumps({"hourly": None}),
-        json.dumps(null_field),
-        json.dumps(str_field),
-        json.dumps(empty),
-        json.dumps(two_missing),
-        json.dumps(null_elem),
-        None,
-    )
+HOURS = ["2023-11-04T21:00", "2023-11-04T22:00", "2023-11-04T23:00"]
+SCHEMA = "city_id int, n int, response_json string, ingestion_timestamp_utc string"
+STAMP = "2023-11-05T00:10:00.000000+00:00"
+
+
+def body(**changes) -> str:
+    """A valid response of three evening hours; ``changes`` replace fields, a
+    field changed to ``...`` is left out."""
+    hourly = {"time": HOURS}
+    for i, name in enumerate(REQUIRED_HOURLY_FIELDS[1:]):
+        hourly[name] = [5 * i + h for h in range(3)]
+    hourly |= changes
+    return json.dumps({"hourly": {k: v for k, v in hourly.items() if v is not ...}})
+
+
+def frame(spark, *texts, city=4):
+    return spark.createDataFrame([(city, n, t, STAMP) for n, t in enumerate(texts)], SCHEMA)
+
+
+def verdicts(spark, *texts):
+    rows = validate_responses(frame(spark, *texts)).orderBy("n").collect()
+    return [(r.reject_reason, r.reject_fields) for r in rows]
+
+
+def events(spark, *texts, city=4):
+    flat = flatten_hourly(frame(spark, *texts, city=city), city_dimension(spark))
+    return flat.orderBy("measurement_timestamp").collect()
+
+
+def test_every_hour_becomes_an_event_of_its_city(spark):
+    got = events(spark, body())
+    assert [e.measurement_timestamp for e in got] == HOURS
+    assert {(e.source, e.city_id, e.city, e.ingestion_timestamp_utc) for e in got} == {("openmeteo", 4, "Paris", STAMP)}
+    for field, first in zip(REQUIRED_HOURLY_FIELDS[1:], (0, 5, 10, 15), strict=True):
+        assert [e[field] for e in got] == [first, first + 1, first + 2]
+
+
+@pytest.mark.parametrize(
+    "text, verdict",
+    [
+        (body(), (None, None)),
+        ("{", ("malformed_json", None)),
+        (body().replace("[0, 1, 2]", "[NaN, 1, 2]"), ("malformed_json", None)),
+        (None, ("missing_hourly", None)),
+        ("[]", ("missing_hourly", None)),
+        ('{"hourly": 3}', ("missing_hourly", None)),
+        ('{"daily": {}}', ("missing_hourly", None)),
+        (body(pm2_5=...), ("missing_fields", "pm2_5")),
+        (body(pm2_5=..., time=...), ("missing_fields", "time,pm2_5")),
+        (body(pm10=None), ("non_array_fields", "pm10")),
+        (body(nitrogen_dioxide="[7, 8, 9]"), ("non_array_fields", "nitrogen_dioxide")),
+        (body(**{f: [] for f in REQUIRED_HOURLY_FIELDS}), ("empty_time", None)),
+        (body(european_aqi=[1, 2]), ("inconsistent_lengths", None)),
+        (body(european_aqi=[1, None, 2]), (None, None)),
+    ],
+)
+def test_first_broken_rule_is_the_reason(spark, text, verdict):
+    assert verdicts(spark, text) == [verdict]
+
+
+def test_only_valid_responses_are_flattened(spark):
+    assert len(events(spark, body(), body(pm10=[1.5]), "{")) == 3
+
+
+@pytest.mark.parametrize(
+    "field, values, read",
+    [
+        ("european_aqi", [33.5, 34, 35], [None, 34, 35]),
+        ("european_aqi", ["33", 34, 35], [None, 34, 35]),
+        ("european_aqi", [None, 34, 10**12], [None, 34, None]),
+        ("pm10", ["n/a", 2, 2.25], [None, 2.0, 2.25]),
+        ("pm2_5", [{"v": 1}, [2], True], [None, None, None]),
+    ],
+)
+def test_a_mistyped_element_is_null_for_its_hour_only(spark, field, values, read):
+    got = events(spark, body(**{field: values}))
+    assert [e[field] for e in got] == read
+    assert [e.measurement_timestamp for e in got] == HOURS
+
+
+def test_unknown_city_has_a_reason_and_no_events(spark):
+    df = frame(spark, body(), "{", city=99)
+    rows = validate_responses(df, cities=city_dimension(spark)).orderBy("n").collect()
+    assert [r.reject_reason for r in rows] == ["unknown_city", "malformed_json"]
+    assert events(spark, body(), city=99) == []
+
+
+def test_ingestion_time_is_stamped_in_utc_where_absent(spark):
+    df = frame(spark, body()).drop("ingestion_timestamp_utc")
+    got = flatten_hourly(df, city_dimension(spark)).collect()
+    assert len({e.ingestion_timestamp_utc for e in got}) == 1
+    assert all(e.ingestion_timestamp_utc.endswith("+00:00") for e in got)
+
+
+def test_utc_wall_clock_tells_the_repeated_hour_apart(spark):
+    """Clocks going back: two instants with one session wall clock."""
+    from pyspark.sql import functions as F
+
+    from airlake.functions.timestamps import iso_utc_text, to_utc_wallclock
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Athens")
+    try:
+        fold = spark.createDataFrame([(1698540600,), (1698544200,), (-1,)], "s long")  # both 03:50 in Athens
+        instants = fold.select(F.timestamp_seconds("s").alias("t"))
+        got = [r[0] for r in instants.select(iso_utc_text(to_utc_wallclock("t"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [
-        ("missing_hourly", None),
-        ("missing_hourly", None),
-        ("missing_hourly", None),
-        ("missing_hourly", None),
-        ("non_array_fields", "pm10"),  # present-but-null is not "missing"
-        ("non_array_fields", "pm2_5"),  # a string that looks like an array is not one
-        ("empty_time", None),
-        ("missing_fields", "time,pm10"),
-        (None, None),  # NULL elements count toward the length
-        ("missing_hourly", None),
+        "2023-10-29T00:50:00.000000+00:00",
+        "2023-10-29T01:50:00.000000+00:00",
+        "1969-12-31T23:59:59.000000+00:00",
     ]
-
-
-def test_flatten_skips_invalid_responses(spark):
-    bad = make_api_response()
-    bad["hourly"]["pm10"] = [30.0]
-    df = responses(spark, json.dumps(make_api_response()), json.dumps(bad))
-    rows = flatten_hourly(df, city_dimension(spark)).collect()
-    assert len(rows) == 2  # ragged response is not padded with NULLs
-    assert all(r.ingestion_timestamp_utc.endswith("+00:00") for r in rows)
