@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from airlake.operators.ranking import rank_within
 from airlake.schemas import EXPECTED_READINGS_PER_DAY, MEASURES
+from airlake.session import ensure_checkpoint_dir
 
 LOCAL_SCALES = {"european_aqi": 2, "pm10": 2, "pm2_5": 2, "nitrogen_dioxide": 2}
 CLOUD_SCALES = {"european_aqi": 2, "pm10": 2, "pm2_5": 0, "nitrogen_dioxide": 0}
@@ -134,33 +135,54 @@ def completeness_from_daily(daily: DataFrame, expected: int = EXPECTED_READINGS_
     )
 
 
-def rank_strategy_for(variant: str, materialized: bool) -> str:
-    """Plan choice for the ranking window.
+def gold_rollup(silver: DataFrame, variant: str = "local") -> DataFrame:
+    """One row per (city, date) with every aggregate any Gold table needs."""
+    p = VARIANTS[variant]
+    aggs = []
+    for m in MEASURES:
+        aggs.append(F.round(F.avg(m), p["scales"][m]).alias(f"avg_{m}"))
+        aggs.append(F.max(m).alias(f"max_{m}"))
+    aggs += [
+        F.count(F.lit(1)).alias("record_count"),
+        F.max("ingestion_timestamp_utc").alias("latest_ingestion_timestamp_utc"),
+        F.max("measurement_timestamp").alias("latest_measurement_timestamp"),
+    ]
+    return with_measurement_date(silver).groupBy(*DAILY_KEYS).agg(*aggs)
 
-    Ranking cities within a day (local variant) puts all cities of a day in
-    one window partition; ranking distinct values instead bounds that task by
-    the value domain. The value strategy reads its input twice (a self-join),
-    so it is chosen only when the daily table is materialized (written or
-    checkpointed); on a lazy input it would recompute all of Silver twice.
-    Days within a city (cloud variant) are bounded by the calendar: window.
-    """
-    if VARIANTS[variant]["rank_partition"] == "measurement_date" and materialized:
-        return "values"
-    return "window"
 
+def gold_from_rollup(rollup: DataFrame, variant: str = "local") -> dict[str, DataFrame]:
+    """The four Gold tables from a (city, date) rollup that is checkpointed or
+    written (the ranking and each table read it again).
 
-def gold_tables(silver: DataFrame, variant: str = "local") -> dict[str, DataFrame]:
-    """The four Gold tables of a variant, as lazy DataFrames (one plan each;
-    :func:`airlake.plans.medallion.run_gold` shares one Silver scan instead)."""
+    Cities within a day (local variant) are ranked by distinct values: a window
+    over the cities of a day would be one task per day. Days within a city
+    (cloud variant) are bounded by the calendar: a window."""
     p = VARIANTS[variant]
-    dated = with_measurement_date(silver)
-    daily = daily_city_aqi(dated, p["scales"], p["with_count"])
+    keep = ["city", "measurement_date"] + [f"{k}_{m}" for m in MEASURES for k in ("avg", "max")]
+    if p["with_count"]:
+        keep.append("record_count")
+    daily = rollup.select(*keep)
     return {
         "daily_city_aqi": daily,
         "daily_city_ranking": rank_daily(
-            daily, p["rank_partition"], p["rank_method"], p["rank_alias"],
-            strategy=rank_strategy_for(variant, materialized=False),
+            daily,
+            p["rank_partition"],
+            p["rank_method"],
+            p["rank_alias"],
+            strategy="values" if p["rank_partition"] == "measurement_date" else "window",
         ),
-        "data_freshness": data_freshness(dated, p["freshness"]),
-        "data_completeness": data_completeness(dated),
+        "data_freshness": freshness_from_rollup(rollup, variant),
+        "data_completeness": completeness_from_daily(rollup),
     }
+
+
+def freshness_from_rollup(rollup: DataFrame, variant: str = "local") -> DataFrame:
+    columns = [f"latest_{c}" for c in VARIANTS[variant]["freshness"]]
+    return rollup.groupBy("city").agg(*[F.max(c).alias(c) for c in columns])
+
+
+def gold_tables(silver: DataFrame, variant: str = "local") -> dict[str, DataFrame]:
+    """The four Gold tables of a variant. Silver is read once: its (city, date)
+    rollup is checkpointed to the shared folder and every table derives from it."""
+    ensure_checkpoint_dir(silver.sparkSession)
+    return gold_from_rollup(gold_rollup(silver, variant).checkpoint(eager=True), variant)

@@ -13,17 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airlake.operators.bronze import parse_events
-from airlake.operators.gold import (
-    VARIANTS,
-    completeness_from_daily,
-    rank_daily,
-    rank_strategy_for,
-    with_measurement_date,
-)
-from airlake.operators.silver import flag_readings, key_filtered, latest_readings, typed_readings, valid_readings
+from airlake.functions.checks import all_true
+from airlake.operators.gold import VARIANTS, freshness_from_rollup, gold_from_rollup, gold_rollup
+from airlake.operators.silver import flag_readings, key_filtered, latest_readings, typed_readings
 from airlake.operators.silver import silver as silver_op
 from airlake.plans.catalog import register_tables
-from airlake.schemas import MEASURES
+from airlake.schemas import FLAG_COLUMNS
 from airlake.session import ensure_checkpoint_dir
 from airlake.sinks.writers import write_table
 from airlake.sources.tables import read_table
@@ -42,53 +37,16 @@ def run_silver(
     fmt: str = "parquet",
     as_of=None,
     tie_break=(),
-    partition_by=None,
+    partition_by=("measurement_date",),
 ) -> str:
-    """Structured Bronze -> Silver, full recompute with overwrite."""
+    """Structured Bronze -> Silver, full recompute with overwrite. Partitioned
+    by date, so that later runs for a date read that date only."""
     out = silver_op(read_table(spark, bronze_path, fmt), as_of=as_of, tie_break=tie_break)
     if partition_by and "measurement_date" in partition_by:
         out = out.withColumn("measurement_date", F.to_date("measurement_timestamp"))
     return write_table(out, silver_path, fmt, partition_by=partition_by)
 
 
-def gold_rollup(silver: DataFrame, variant: str = "local") -> DataFrame:
-    """One row per (city, date) with every aggregate any Gold table needs."""
-    p = VARIANTS[variant]
-    aggs = []
-    for m in MEASURES:
-        aggs.append(F.round(F.avg(m), p["scales"][m]).alias(f"avg_{m}"))
-        aggs.append(F.max(m).alias(f"max_{m}"))
-    aggs += [
-        F.count(F.lit(1)).alias("record_count"),
-        F.max("ingestion_timestamp_utc").alias("latest_ingestion_timestamp_utc"),
-        F.max("measurement_timestamp").alias("latest_measurement_timestamp"),
-    ]
-    return with_measurement_date(silver).groupBy("city", "measurement_date").agg(*aggs)
-
-
-def gold_from_rollup(rollup: DataFrame, variant: str = "local", materialized: bool = True) -> dict[str, DataFrame]:
-    """The four Gold tables from a (city, date) rollup. ``materialized`` says
-    the rollup is checkpointed or written, which lets the ranking read it twice."""
-    p = VARIANTS[variant]
-    keep = ["city", "measurement_date"] + [f"{k}_{m}" for m in MEASURES for k in ("avg", "max")]
-    if p["with_count"]:
-        keep.append("record_count")
-    daily = rollup.select(*keep)
-    fresh = rollup.groupBy("city").agg(*[F.max(f"latest_{c}").alias(f"latest_{c}") for c in p["freshness"]])
-    return {
-        "daily_city_aqi": daily,
-        "daily_city_ranking": rank_daily(
-            daily,
-            p["rank_partition"],
-            p["rank_method"],
-            p["rank_alias"],
-            strategy=rank_strategy_for(variant, materialized),
-        ),
-        "data_freshness": fresh,
-        "data_completeness": completeness_from_daily(rollup),
-    }
-
-
 def run_gold(
     spark: SparkSession, silver_path: str, gold_root: str, variant: str = "local", fmt: str = "parquet"
 ) -> dict[str, str]:
@@ -154,17 +112,48 @@ def run_all(
 # touches. Those partitions are merged and overwritten in place; so are the same
 # dates of a (city, date) rollup and of the per-date Gold tables.
 #
-# One difference to a full recompute: a reading rejected as "future" by an
-# earlier run is not reconsidered later (validity is decided when a row arrives).
+# Validity depends on the clock only through the "not in the future" flag: a
+# reading that is otherwise valid but still in the future waits in a pending
+# table and is judged again by every later run, so a run gives what a full
+# recompute at its ``as_of`` would. The pending table is bounded by the readings
+# ahead of the clock, not by history.
 
 _DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 
 
 def _read_or_none(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+    """The table, or None if the path does not exist. Any other failure to read
+    it (an emptied folder, a broken file) is raised: taking it for a first run
+    would replace what the table held."""
     try:
         return read_table(spark, path, fmt)
-    except AnalysisException:  # first run: nothing written yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "DELTA_PATH_DOES_NOT_EXIST"):
+            return None
+        raise
+
+
+class SlotTable:
+    """A small state table that survives an interrupted overwrite.
+
+    A version is written to the slot that is not in use, then named by one
+    appended row; until that row is there readers see the previous version."""
+
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
+        self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
+
+    def version(self) -> int:
+        names = _read_or_none(self.spark, f"{self.root}/versions", "json")
+        return 0 if names is None else names.agg(F.max("version")).first()[0] or 0
+
+    def read(self) -> DataFrame | None:
+        now = self.version()
+        return read_table(self.spark, f"{self.root}/slot-{now % 2}", self.fmt) if now else None
+
+    def write(self, df: DataFrame) -> None:
+        new = self.version() + 1
+        write_table(df, f"{self.root}/slot-{new % 2}", self.fmt)
+        self.spark.range(1).select(F.lit(new).alias("version")).write.mode("append").json(f"{self.root}/versions")
 
 
 def run_silver_incremental(
@@ -174,38 +163,48 @@ def run_silver_incremental(
     fmt: str = "parquet",
     as_of=None,
     tie_break=(),
+    pending_path: str | None = None,
 ) -> list:
     """Merge a batch of structured Bronze rows (path or DataFrame) into a
     Silver table partitioned by ``measurement_date``.
 
-    Only the dates the batch touches are read, merged latest-wins and
+    Readings of the batch and of the pending table (``pending_path``, by default
+    next to Silver) that are valid at ``as_of`` are merged; those that are only
+    too early stay pending. Silver is written before the pending table: a run
+    interrupted in between merges the same readings again, which changes nothing.
+
+    Only the dates with merged readings are read, merged latest-wins and
     overwritten (dynamic partition overwrite). The touched dates are the one
-    thing brought to the driver: a list bounded by the calendar days in the
-    batch (not by rows), used as a static partition filter so the scan lists
-    and reads only those date folders. The validated batch is checkpointed
-    (read twice, computed once), and so is the merge, so the overwrite never
-    reads the files it replaces. Returns the touched dates."""
+    thing brought to the driver: none is later than ``as_of``, so a list bounded by
+    calendar days, used as a static partition filter so the scan lists
+    and reads only those date folders. The judged batch is checkpointed
+    (read several times, computed once), and so is the merge, so the overwrite
+    never reads the files it replaces. Returns the touched dates."""
     ensure_checkpoint_dir(spark)
     new = read_table(spark, new_bronze, fmt) if isinstance(new_bronze, str) else new_bronze
-    # validated once and checkpointed: the dates and the merge both read it, so a
-    # micro-batch is not read from its source and parsed twice
-    fresh = (
-        valid_readings(flag_readings(key_filtered(typed_readings(new)), as_of))
-        .withColumn("measurement_date", F.to_date("measurement_timestamp"))
-        .checkpoint(eager=True)
+    pending = SlotTable(spark, pending_path or f"{silver_path.rstrip('/')}_pending", fmt)
+    waiting = pending.read()
+    rows = key_filtered(typed_readings(new))
+    if waiting is not None:
+        rows = rows.unionByName(waiting)
+    lasting = [c for c in FLAG_COLUMNS if c != "is_not_future_measurement"]
+    judged = flag_readings(rows, as_of).where(all_true(lasting)).checkpoint(eager=True)
+    fresh = judged.where("is_not_future_measurement").withColumn(
+        "measurement_date", F.to_date("measurement_timestamp")
     )
+    early = latest_readings(judged.where("not is_not_future_measurement"), tie_break=tie_break).drop(*FLAG_COLUMNS)
     dates = sorted(r[0] for r in fresh.select("measurement_date").distinct().collect())
-    if not dates:
-        return []
-    old = _read_or_none(spark, silver_path, fmt)
-    if old is not None and "measurement_date" not in old.columns:
-        raise ValueError(
-            f"{silver_path} is not partitioned by measurement_date; build it with run_incremental "
-            "or run_silver(partition_by=['measurement_date'])"
-        )
-    rows = fresh if old is None else old.where(F.col("measurement_date").isin(dates)).unionByName(fresh)
-    merged = latest_readings(rows, tie_break=tie_break).checkpoint(eager=True)
-    write_table(merged, silver_path, fmt, partition_by=["measurement_date"], options=_DYNAMIC)
+    if dates:
+        old = _read_or_none(spark, silver_path, fmt)
+        if old is not None and "measurement_date" not in old.columns:
+            raise ValueError(
+                f"{silver_path} is not partitioned by measurement_date; build it with run_incremental "
+                "or run_silver(partition_by=['measurement_date'])"
+            )
+        merging = fresh if old is None else old.where(F.col("measurement_date").isin(dates)).unionByName(fresh)
+        merged = latest_readings(merging, tie_break=tie_break).checkpoint(eager=True)
+        write_table(merged, silver_path, fmt, partition_by=["measurement_date"], options=_DYNAMIC)
+    pending.write(early)
     return dates
 
 
@@ -225,8 +224,11 @@ def run_gold_incremental(
     - per-date tables (daily table, completeness, and the local ranking, which
       ranks cities within a day): only the partitions of ``dates`` are
       recomputed from the rollup and overwritten;
-    - freshness: a running max, merged from the previous table and the
-      touched dates (a merge never lowers a city's latest timestamps);
+    - freshness: a running max, merged from the previous state and the
+      touched dates (a merge never lowers a city's latest timestamps). The state is a
+      :class:`SlotTable` under ``root/state``; without one it is rebuilt from the whole
+      rollup. The published table is an overwrite from the state, so an
+      interrupted overwrite is repaired by the next run;
     - the cloud ranking ranks the days of a city, so it is rebuilt from the
       whole rollup (one row per city and day).
     """
@@ -251,13 +253,15 @@ def run_gold_incremental(
     for name in per_date:
         order = ["measurement_date", "city"] if name == "daily_city_aqi" else None
         write_table(touched[name], paths[name], fmt, partition_by=["measurement_date"], sort_within=order, options=_DYNAMIC)
-    fresh = touched["data_freshness"]
-    old = _read_or_none(spark, paths["data_freshness"], fmt)
-    if old is not None:
-        cols = [c for c in fresh.columns if c != "city"]
-        fresh = old.unionByName(fresh).groupBy("city").agg(*[F.max(c).alias(c) for c in cols])
-    # checkpointed: the overwrite must not read the files it replaces
-    write_table(fresh.checkpoint(eager=True), paths["data_freshness"], fmt)
+    state = SlotTable(spark, f"{base}/state/freshness_{variant}", fmt)
+    known = state.read()
+    if known is None:
+        fresh = freshness_from_rollup(read_table(spark, paths["rollup"], fmt), variant)
+    else:
+        fresh = known.unionByName(touched["data_freshness"])
+        fresh = fresh.groupBy("city").agg(*[F.max(c).alias(c) for c in fresh.columns if c != "city"])
+    state.write(fresh)
+    write_table(state.read(), paths["data_freshness"], fmt)
     return paths
 
 

@@ -169,7 +169,7 @@ hourly AS (
   FROM base GROUP BY city_id, hour
 ),
 resp AS (
-  SELECT city_id, CAST(hour AS DATE) AS response_date, max(last_ts) AS ingest_ts,
+  SELECT city_id, CAST(hour AS DATE) AS response_date, max(last_ts) AS ingest_ts, min(hour) AS first_hour,
          (CAST(hour AS DATE) - DATE '2024-01-01') * 31 + city_id AS k
   FROM hourly GROUP BY city_id, CAST(hour AS DATE)
 )"""
@@ -191,6 +191,7 @@ def oracle_sql() -> dict[str, str]:
     q["latest_readings"] = _with(ref, f"SELECT {EVENT_COLS}, {FLAG_COLS} FROM silver")
     # the incremental merge must give exactly the full recompute
     q["latest_readings_incremental"] = q["latest_readings"]
+    q["latest_readings_incremental_advancing"] = q["latest_readings"]
     q["stage_counts"] = _with(
         ref,
         """SELECT (SELECT count(*) FROM parsed) AS structured_rows,
@@ -212,6 +213,7 @@ def oracle_sql() -> dict[str, str]:
     q["data_freshness"] = _with(
         ref, "SELECT city, max(ingestion_timestamp_utc) AS latest_ingestion_timestamp_utc FROM dated GROUP BY city"
     )
+    q["data_freshness_incremental"] = q["data_freshness"]
     q["data_freshness_cloud"] = _with(ref, "SELECT * FROM freshness_cloud", d)
     q["data_completeness"] = _with(ref, "SELECT * FROM completeness", d)
     q["report_daily_aqi"] = _with(ref, "SELECT * FROM daily_cloud ORDER BY measurement_date, city", d)
@@ -228,10 +230,30 @@ def oracle_sql() -> dict[str, str]:
         ref, f"SELECT {EVENT_COLS} FROM parsed ORDER BY ingestion_timestamp_utc NULLS LAST LIMIT 20"
     )
     q["bronze_stream"] = q["parse_events"]
+    q["bronze_stream_resume"] = q["parse_events"]
+    # the JSON text that DuckDB would write differs in number format: compare what it says
+    q["stream_preview"] = _with(
+        ref,
+        "SELECT event_id % 73 = 0 AS junk, "
+        + ", ".join(
+            f"CASE WHEN event_id % 73 = 0 THEN NULL ELSE {c} END AS {c}"
+            for c in ("source", "city_id", "measurement_timestamp", "european_aqi", "pm10")
+        )
+        + " FROM rows",
+    )
+    q["record_count"] = _with(ref, "SELECT count(*) AS n_rows FROM parsed")
+    q["catalog_reports"] = _with(
+        ref,
+        "SELECT measurement_date, city, avg_european_aqi, rank, 4::BIGINT AS n_tables FROM ranking_cloud WHERE rank = 1",
+        d,
+    )
+    names = EVENT_COLS.replace(" ", "")
+    q["json_sample"] = _with(ref, f"SELECT '{names}' AS fields, count(*) AS n_rows FROM parsed")
     q["file_inventory"] = "SELECT 'events.parquet' AS file_name, count(*) AS n_rows FROM events"
-    q["validate_responses"] = f"""WITH {_responses_cte(ref)}
+    for mode, key in ((ref, "validate_responses"), ("per_user", "validate_responses_per_user")):
+        q[key] = f"""WITH {_responses_cte(mode)}
 SELECT city_id, response_date,
-  CASE WHEN k % 23 = 0 THEN 'missing_hourly' WHEN k % 19 = 0 THEN 'empty_time'
+  CASE WHEN k % 23 = 0 THEN 'malformed_json' WHEN k % 19 = 0 THEN 'empty_time'
        WHEN k % 17 = 0 THEN 'missing_fields' WHEN k % 13 = 0 THEN 'non_array_fields'
        WHEN k % 11 = 0 THEN 'inconsistent_lengths' END AS reject_reason,
   CASE WHEN k % 23 = 0 OR k % 19 = 0 THEN NULL WHEN k % 17 = 0 THEN 'european_aqi'
@@ -241,7 +263,8 @@ FROM resp"""
         q[key] = f"""WITH {_responses_cte(mode)}
 SELECT 'openmeteo' AS source, c.latitude, c.longitude, h.city_id, c.city, c.country,
   strftime(h.hour, '%Y-%m-%dT%H:00') AS measurement_timestamp,
-  CAST(floor(h.value) AS INTEGER) AS european_aqi,
+  CASE WHEN r.k % 7 = 0 AND h.hour = r.first_hour THEN NULL
+       ELSE CAST(floor(h.value) AS INTEGER) END AS european_aqi,
   floor(h.value * 4) / 4 AS pm10, floor(h.value * 2) / 4 AS pm2_5,
   floor(h.value * 8) / 16 AS nitrogen_dioxide,
   strftime(r.ingest_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS ingestion_timestamp_utc

@@ -10,6 +10,7 @@ time zone. The DuckDB restatement of each query is in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +18,15 @@ from pyspark.sql import functions as F
 
 from airlake.functions.timestamps import to_utc_wallclock, to_wallclock
 from airlake.operators import bronze, gold, ingest, silver
-from airlake.plans.medallion import gold_from_rollup, gold_rollup, run_silver_incremental
+from airlake.plans import catalog
+from airlake.plans.medallion import run_batch, run_incremental, run_silver_incremental
 from airlake.plans.reports import run_report
-from airlake.session import ensure_checkpoint_dir, scratch_path
-from airlake.sinks.writers import file_inventory, to_kafka_value, write_table
+from airlake.schemas import EVENT_SCHEMA
+from airlake.session import scratch_path
+from airlake.sinks.writers import counted, file_inventory, preview_stream, to_kafka_value, write_json, write_table
 from airlake.sources import fixtures
 from airlake.sources.tables import city_dimension
-from airlake.streaming.bronze_stream import file_value_stream, start_bronze_stream
+from airlake.streaming.bronze_stream import bronze_stream, file_value_stream, start_bronze_stream
 
 AS_OF = fixtures.FIXTURE_AS_OF
 
@@ -65,8 +68,19 @@ def _silver(spark, sf, cities="reference") -> DataFrame:
     return silver.silver(_bronze(spark, sf, cities), as_of=AS_OF)
 
 
-def _gold(spark, sf, variant, cities="reference") -> dict[str, DataFrame]:
-    return gold.gold_tables(_silver(spark, sf, cities), variant)
+def _daily(spark, sf, variant, sort=False) -> DataFrame:
+    p = gold.VARIANTS[variant]
+    return gold.daily_city_aqi(_silver(spark, sf), p["scales"], p["with_count"], sort=sort)
+
+
+def _freshness(spark, sf, variant) -> DataFrame:
+    return present(gold.data_freshness(_silver(spark, sf), gold.VARIANTS[variant]["freshness"]))
+
+
+def _cloud_ranking(spark, sf) -> DataFrame:
+    """Days ranked within a city: bounded by the calendar, one lazy plan."""
+    p = gold.VARIANTS["cloud"]
+    return gold.rank_daily(_daily(spark, sf, "cloud"), p["rank_partition"], p["rank_method"], p["rank_alias"])
 
 
 def q_decode_value(spark, sf):
@@ -105,14 +119,36 @@ def q_latest_readings_per_user(spark, sf):
 def q_latest_readings_incremental(spark, sf):
     """Silver built by two incremental merges (events split by parity, so
     readings of one key arrive in both batches); equals ``latest_readings``."""
-    tagged = bronze.parse_events(fixtures.aqi_json(_events(spark, sf)), keep=("event_id",))
     silver_path = scratch_path(spark, "silver-incremental")
-    for parity in (0, 1):
-        batch = tagged.where(F.col("event_id") % 2 == parity).drop("event_id")
+    for batch in _halves(spark, sf):
         run_silver_incremental(spark, batch, silver_path, as_of=AS_OF)
     return present(spark.read.parquet(silver_path).drop("measurement_date"))
 
 
+def _halves(spark, sf) -> list[DataFrame]:
+    """The events' readings in two batches of whole event ids, by parity."""
+    tagged = bronze.parse_events(fixtures.aqi_json(_events(spark, sf)), keep=("event_id",))
+    return [tagged.where(F.col("event_id") % 2 == parity).drop("event_id") for parity in (0, 1)]
+
+
+def q_latest_readings_incremental_advancing(spark, sf):
+    """Two incremental merges while the clock advances: most readings of the
+    first batch are in the future when they arrive and must become valid
+    later. Equals ``latest_readings``, a full recompute at the last ``as_of``."""
+    silver_path = scratch_path(spark, "silver-advancing")
+    for batch, as_of in zip(_halves(spark, sf), (fixtures.EARLY_AS_OF, AS_OF), strict=True):
+        run_silver_incremental(spark, batch, silver_path, as_of=as_of)
+    return present(spark.read.parquet(silver_path).drop("measurement_date"))
+
+
+def q_data_freshness_incremental(spark, sf):
+    """Freshness after two incremental runs with an advancing clock."""
+    root = scratch_path(spark, "freshness-incremental")
+    for batch, as_of in zip(_halves(spark, sf), (fixtures.EARLY_AS_OF, AS_OF), strict=True):
+        paths = run_incremental(spark, batch, root, "local", as_of=as_of)
+    return present(spark.read.parquet(paths["data_freshness"]))
+
+
 def q_stage_counts(spark, sf):
     return silver.stage_counts(_bronze(spark, sf), as_of=AS_OF)
 
@@ -122,64 +158,56 @@ def q_with_measurement_date(spark, sf):
 
 
 def q_daily_city_aqi(spark, sf):
-    p = gold.VARIANTS["local"]
-    return gold.daily_city_aqi(_silver(spark, sf), p["scales"], p["with_count"], sort=True)
+    return _daily(spark, sf, "local", sort=True)
 
 
 def q_daily_city_aqi_cloud(spark, sf):
-    p = gold.VARIANTS["cloud"]
-    return gold.daily_city_aqi(_silver(spark, sf), p["scales"], p["with_count"], sort=True)
+    return _daily(spark, sf, "cloud", sort=True)
 
 
 def q_daily_city_ranking(spark, sf):
-    return _gold(spark, sf, "local")["daily_city_ranking"]
+    return gold.gold_tables(_silver(spark, sf), "local")["daily_city_ranking"]
 
 
 def q_daily_city_ranking_per_user(spark, sf):
-    """Per-user cities: the cities of one day grow with the data, so a plain
-    window would put a whole day in one task. Same plan as ``run_gold``: one
-    checkpointed (city, date) rollup, ranked by distinct values per day."""
-    ensure_checkpoint_dir(spark)
-    rollup = gold_rollup(_silver(spark, sf, "per_user"), "local").checkpoint(eager=True)
-    return gold_from_rollup(rollup, "local", materialized=True)["daily_city_ranking"]
+    """Per-user cities: the cities of one day grow with the data."""
+    return gold.gold_tables(_silver(spark, sf, "per_user"), "local")["daily_city_ranking"]
 
 
 def q_daily_city_ranking_cloud(spark, sf):
-    return _gold(spark, sf, "cloud")["daily_city_ranking"]
+    return _cloud_ranking(spark, sf)
 
 
 def q_data_freshness(spark, sf):
-    return present(_gold(spark, sf, "local")["data_freshness"])
+    return _freshness(spark, sf, "local")
 
 
 def q_data_freshness_cloud(spark, sf):
-    return present(_gold(spark, sf, "cloud")["data_freshness"])
+    return _freshness(spark, sf, "cloud")
 
 
 def q_data_completeness(spark, sf):
-    return _gold(spark, sf, "local")["data_completeness"]
+    return gold.data_completeness(_silver(spark, sf))
 
 
 def q_data_completeness_per_user(spark, sf):
-    return _gold(spark, sf, "local", "per_user")["data_completeness"]
+    return gold.data_completeness(_silver(spark, sf, "per_user"))
 
 
 def q_report_daily_aqi(spark, sf):
-    return run_report(spark, "daily_aqi", daily_city_aqi=_gold(spark, sf, "cloud")["daily_city_aqi"])
+    return run_report(spark, "daily_aqi", daily_city_aqi=_daily(spark, sf, "cloud"))
 
 
 def q_worst_day_per_city(spark, sf):
-    ranking = _gold(spark, sf, "cloud")["daily_city_ranking"]
-    return run_report(spark, "worst_day_per_city", daily_city_ranking=ranking)
+    return run_report(spark, "worst_day_per_city", daily_city_ranking=_cloud_ranking(spark, sf))
 
 
 def q_report_freshness(spark, sf):
-    fresh = present(_gold(spark, sf, "cloud")["data_freshness"])
-    return run_report(spark, "freshness", data_freshness=fresh)
+    return run_report(spark, "freshness", data_freshness=_freshness(spark, sf, "cloud"))
 
 
 def q_report_completeness(spark, sf):
-    return run_report(spark, "completeness", data_completeness=_gold(spark, sf, "cloud")["data_completeness"])
+    return run_report(spark, "completeness", data_completeness=gold.data_completeness(_silver(spark, sf)))
 
 
 def q_validate_responses(spark, sf):
@@ -187,16 +215,23 @@ def q_validate_responses(spark, sf):
     return ingest.validate_responses(resp).select("city_id", "response_date", "reject_reason", "reject_fields")
 
 
+def q_validate_responses_per_user(spark, sf):
+    ev = _events(spark, sf)
+    checked = ingest.validate_responses(
+        fixtures.hourly_responses(ev, "per_user"), cities=fixtures.per_user_cities(ev)
+    )
+    return checked.select("city_id", "response_date", "reject_reason", "reject_fields")
+
+
 def q_flatten_hourly(spark, sf):
     resp = fixtures.hourly_responses(_events(spark, sf))
-    # the five-row city dimension is a fixed-size constant: safe to broadcast
-    return ingest.flatten_hourly(resp, city_dimension(spark), broadcast_cities=True)
+    return ingest.flatten_hourly(resp, city_dimension(spark))
 
 
 def q_flatten_hourly_per_user(spark, sf):
     ev = _events(spark, sf)
     resp = fixtures.hourly_responses(ev, "per_user")
-    # the per-user dimension grows with the data: no hint, AQE decides
+    # the per-user dimension grows with the data: AQE decides from its size
     return ingest.flatten_hourly(resp, fixtures.per_user_cities(ev))
 
 
@@ -221,8 +256,61 @@ def q_bronze_stream(spark, sf):
     return spark.read.parquet(out)
 
 
+def q_bronze_stream_resume(spark, sf):
+    """The stream over two drops of files with one checkpoint: the second run
+    resumes behind the first one's offsets."""
+    src, out, ckpt = (scratch_path(spark, f"bronze-resume-{n}") for n in ("src", "out", "ckpt"))
+    records = fixtures.aqi_kafka_records(_events(spark, sf))
+    for parity in (0, 1):
+        drop = records.where(F.col("event_id") % 2 == parity).select("value")
+        write_table(drop, f"{src}/drop={parity}")
+        stream = file_value_stream(spark, f"{src}/*")
+        start_bronze_stream(stream, out, ckpt, form="direct", trigger="availableNow").awaitTermination()
+    return spark.read.parquet(out)
+
+
+def q_stream_preview(spark, sf):
+    """Rows that a preview larger than the stream shows, by name."""
+    src = scratch_path(spark, "preview-src")
+    records = fixtures.aqi_kafka_records(_events(spark, sf))
+    write_table(records.select("value"), src)
+    name = f"preview_{uuid.uuid4().hex}"
+    rows = spark.read.parquet(src).count()
+    preview_stream(bronze_stream(file_value_stream(spark, src), "raw"), name, rows=rows)
+    parsed = F.from_json("json_string", EVENT_SCHEMA)
+    shown = spark.table(name).select((F.col("json_string") == fixtures.JUNK_TEXT).alias("junk"), parsed.alias("r"))
+    return shown.select("junk", "r.source", "r.city_id", "r.measurement_timestamp", "r.european_aqi", "r.pm10")
+
+
+def q_record_count(spark, sf):
+    """The count observed while Bronze is written (no job of its own)."""
+    df, seen = counted(_bronze(spark, sf), f"records-{uuid.uuid4().hex}")
+    write_table(df, scratch_path(spark, "counted"))
+    return spark.range(1).select(F.lit(seen.get["n_rows"]).cast("long").alias("n_rows"))
+
+
+def q_catalog_reports(spark, sf):
+    """Batch run, Gold registered as external tables of a schema, and the
+    worst-day report by table name, for the tables the schema lists."""
+    bronze_path = write_table(_bronze(spark, sf), scratch_path(spark, "catalog-bronze"))
+    paths = run_batch(spark, bronze_path, scratch_path(spark, "catalog-lake"), "cloud", as_of=AS_OF)
+    schema = f"airlake_{uuid.uuid4().hex}"
+    catalog.register_tables(spark, schema, {k: v for k, v in paths.items() if k != "silver"})
+    listed = catalog.list_tables(spark, schema).count()
+    worst = run_report(spark, "worst_day_per_city", daily_city_ranking=f"{schema}.daily_city_ranking")
+    return worst.withColumn("n_tables", F.lit(listed).cast("long"))
+
+
+def q_json_sample(spark, sf):
+    """The JSON sample file, read back as text: absent values are there as null."""
+    path = write_json(_bronze(spark, sf), scratch_path(spark, "json-sample"))
+    text = spark.read.text(path)
+    fields = F.json_object_keys("value")
+    return text.select(F.array_join(fields, ",").alias("fields")).groupBy("fields").agg(F.count("*").alias("n_rows"))
+
+
 def q_file_inventory(spark, sf):
-    return file_inventory(fixtures.load(spark, sf, "events", spread=False)).select("file_name", "n_rows")
+    return file_inventory(spark, f"{sf.rstrip('/')}/events.parquet").select("file_name", "n_rows")
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -235,6 +323,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_readings": q_latest_readings,
     "latest_readings_per_user": q_latest_readings_per_user,
     "latest_readings_incremental": q_latest_readings_incremental,
+    "latest_readings_incremental_advancing": q_latest_readings_incremental_advancing,
+    "data_freshness_incremental": q_data_freshness_incremental,
     "stage_counts": q_stage_counts,
     "with_measurement_date": q_with_measurement_date,
     "daily_city_aqi": q_daily_city_aqi,
@@ -251,11 +341,17 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_freshness": q_report_freshness,
     "report_completeness": q_report_completeness,
     "validate_responses": q_validate_responses,
+    "validate_responses_per_user": q_validate_responses_per_user,
     "flatten_hourly": q_flatten_hourly,
     "flatten_hourly_per_user": q_flatten_hourly_per_user,
     "event_json_roundtrip": q_event_json_roundtrip,
     "bronze_preview": q_bronze_preview,
     "bronze_stream": q_bronze_stream,
+    "bronze_stream_resume": q_bronze_stream_resume,
+    "stream_preview": q_stream_preview,
+    "record_count": q_record_count,
+    "catalog_reports": q_catalog_reports,
+    "json_sample": q_json_sample,
     "file_inventory": q_file_inventory,
 }
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import os
 import tempfile
 import uuid
 
@@ -46,7 +45,8 @@ def partition_conf(
       ``shuffled_fraction`` of the input after column pruning; it starts with
       enough partitions for ``shuffle_target_bytes`` each (at least two per
       core, at most ``max_shuffle_partitions`` to bound the driver's map-output
-      statuses) and AQE coalesces later, smaller shuffles (partial aggregates)
+      statuses: with the defaults the target is exceeded beyond about 50 TB of
+      input; raise the cap with the driver's memory) and AQE coalesces later, smaller shuffles (partial aggregates)
       down to the same target size.
     - A partition over 4x the target is split by AQE's skew-join handling.
     - ``min_coalesced_bytes`` is AQE's floor when it merges small shuffle
@@ -123,11 +123,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root (for stream
+    """A fresh, unique path under the shared checkpoint root (for stream
     checkpoints and hand-off tables). Never a machine-local temp folder when
-    the cluster names a shared one."""
+    the cluster names a shared one. Nothing is created: the writer does that,
+    on whatever file system the path names."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/airlake/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1) if path.startswith("file:") else path, exist_ok=True)
-    return path
+    return f"{root}/airlake/{name}-{uuid.uuid4().hex[:12]}"

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from airlake.session import scratch_path
+
 
 def write_table(
     df: DataFrame,
@@ -86,15 +88,25 @@ def preview_stream(
     query_name: str,
     checkpoint: str | None = None,
     trigger: str | dict = "availableNow",
+    rows: int = 1000,
 ) -> StreamingQuery:
-    """In-memory sink queryable as ``spark.table(query_name)`` (K3, T-8, S7).
-
-    The memory sink cannot recover from a checkpoint, so give a fresh
-    ``checkpoint`` per run (or none)."""
-    w = df.writeStream.format("memory").queryName(query_name).outputMode("append")
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
-    return _apply_trigger(w, trigger).start()
+    """Named preview of a stream, queryable as ``spark.table(query_name)`` (K3,
+    T-8, S7): its first ``rows`` rows as found by the reader.
+
+    What the source holds now goes to files under the shared scratch folder, never to the
+    driver; the view reads them back with LIMIT, so what reaches the driver is
+    bounded by ``rows`` however long the stream is. Returns after that; with a
+    trigger other than ``availableNow`` the query goes on until stopped."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"preview-{query_name}")
+    checkpoint = checkpoint or scratch_path(spark, f"preview-{query_name}-checkpoint")
+    query = write_stream(df, path, checkpoint, trigger=trigger, query_name=query_name)
+    if trigger == "availableNow":
+        query.awaitTermination()
+    else:
+        query.processAllAvailable()
+    spark.read.schema(df.schema).parquet(path).limit(rows).createOrReplaceTempView(query_name)
+    return query
 
 
 def to_kafka_value(df: DataFrame, columns=None, key_col: str | None = None, keep_nulls: bool = False) -> DataFrame:
@@ -144,24 +156,35 @@ def counted(df: DataFrame, name: str = "records"):
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """JSON-lines sample files (K8). Read back with ``spark.read.json``; a
-    single JSON array file needs ``multiLine=True`` instead."""
-    df.write.mode(mode).json(path)
+    """JSON-lines sample files (K8); absent values are written as ``null``. Read
+    back with ``spark.read.json``; a single JSON array file needs ``multiLine=True`` instead."""
+    df.write.mode(mode).option("ignoreNullFields", "false").json(path)
     return path
 
 
-def file_inventory(df: DataFrame) -> DataFrame:
-    """Files behind a file-based DataFrame: path, name, size and row count (K9).
-
-    Reads the hidden ``_metadata`` column, so it works on any Hadoop file
-    system and is computed by the executors (one partial row per file per
-    task), not by listing on the driver."""
-    meta = df.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_size").alias("file_size"),
+def file_inventory(spark: SparkSession, path: str, fmt: str = "parquet", pattern: str = "*.parquet") -> DataFrame:
+    """Files of a table folder: path, name, size and row count (K9).
+
+    Files are listed by the ``binaryFile`` source without reading their content,
+    so files that hold no rows are reported too (0 rows); rows are counted from
+    the hidden ``_metadata`` column (one partial row per file per task)."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .select(
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_name").alias("file_name"),
+            F.col("length").alias("file_size"),
+        )
+    )
+    rows = (
+        spark.read.format(fmt).load(path).groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("n"))
+    )
+    return files.join(rows, "file_path", "left").select(
+        "file_path", "file_name", "file_size", F.coalesce("n", F.lit(0)).alias("n_rows")
     )
-    return meta.groupBy("file_path", "file_name", "file_size").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def storage_smoke(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from airlake.operators.bronze import decode_value, parse_events
 from airlake.sinks.writers import write_stream
+from airlake.sources.tables import read_table
 
 VALUE_SCHEMA = StructType([StructField("value", BinaryType())])
 
@@ -63,18 +64,27 @@ def start_incremental_stream(
     fmt: str = "parquet",
     as_of=None,
     trigger="availableNow",
+    tie_break=(),
 ) -> StreamingQuery:
-    """Message stream -> Bronze parse -> incremental Silver/Gold under ``root``
-    per micro-batch (``foreachBatch`` + :func:`airlake.plans.medallion.run_incremental`).
-
-    A micro-batch replayed after a failure is merged again with the same
-    latest-wins rule, which gives the same tables: the sink is idempotent, so
-    the checkpoint's at-least-once batches yield exactly-once results."""
+    """Message stream -> Bronze under ``root/bronze`` -> incremental Silver/Gold
+    under ``root``, per micro-batch (``foreachBatch`` +
+    :func:`airlake.plans.medallion.run_incremental`).
+
+    The batch is landed first, in a folder of its number, and Silver is merged
+    from what was landed: Silver and Gold can be rebuilt from Bronze at any time.
+    A micro-batch replayed after a failure overwrites the same folder and is
+    merged again with the same latest-wins rule, which gives the same tables
+    (``tie_break`` columns decide between equal ingestion times; without them
+    such a tie is arbitrary): the checkpoint's at-least-once batches yield
+    exactly-once results."""
     from airlake.plans.medallion import run_incremental
-    from airlake.sinks.writers import _apply_trigger
+    from airlake.sinks.writers import _apply_trigger, write_table
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
-        run_incremental(batch.sparkSession, batch, root, variant, fmt, as_of)
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        landed = write_table(batch, f"{root.rstrip('/')}/bronze/batch_id={batch_id}", fmt)
+        bronze = read_table(spark, landed, fmt, schema=batch.schema)
+        run_incremental(spark, bronze, root, variant, fmt, as_of, tie_break)
 
     w = bronze_stream(stream, "direct").writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return _apply_trigger(w, trigger).start()

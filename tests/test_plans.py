@@ -27,10 +27,22 @@ def test_event_json_is_parsed_once(spark, key):
     assert opt.count("from_json(") == 1
 
 
-def test_response_json_parsed_once_per_form(spark):
+def test_response_json_is_parsed_once(spark):
     opt, _ = _plans(spark, "flatten_hourly_per_user")
-    assert opt.count("parseJson") == 1  # VARIANT form, for validation
-    assert opt.count("from_json(") == 1  # typed form, for the arrays
+    assert opt.count("parseJson") == 1  # validation and arrays share the VARIANT
+    assert opt.count("from_json(") == 0
+
+
+def test_no_query_spreads_its_input_round_robin(spark):
+    for key in ("parse_events", "latest_readings", "flatten_hourly_per_user", "event_json_roundtrip"):
+        _, phys = _plans(spark, key)
+        assert "RoundRobinPartitioning" not in phys, key
+
+
+def test_day_ranking_has_no_window_over_a_day_of_cities(spark):
+    for key in ("daily_city_ranking", "daily_city_ranking_per_user"):
+        opt, _ = _plans(spark, key)
+        assert "Aggregate" in opt[opt.index("Window") :], key  # the window runs over distinct values
 
 
 @pytest.mark.parametrize(
@@ -59,16 +71,12 @@ def test_aggregates_combine_map_side(spark, key):
     assert re.search(r"partial_(avg|max|count|max_by)", phys)
 
 
-def test_only_the_fixed_city_constant_is_hinted(spark):
+def test_no_forced_broadcast_of_the_city_dimension(spark):
     from airlake.sources import fixtures
-    from airlake.sources.tables import city_dimension
     from airlake.operators import ingest
 
     ev = fixtures.load(spark, SF, "events")
-    hinted = ingest.flatten_hourly(fixtures.hourly_responses(ev), city_dimension(spark), broadcast_cities=True)
     plain = ingest.flatten_hourly(fixtures.hourly_responses(ev, "per_user"), fixtures.per_user_cities(ev))
-    assert "strategy=broadcast" in hinted._jdf.queryExecution().analyzed().toString()
-    # the per-user dimension grows with the data: no hint (AQE decides from sizes)
     assert "strategy=broadcast" not in plain._jdf.queryExecution().analyzed().toString()
 
 

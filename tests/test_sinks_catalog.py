@@ -26,8 +26,10 @@ def test_storage_smoke(spark, tmp_dir):
 def test_file_inventory_counts_files_and_rows(spark, tmp_dir):
     path = os.path.join(tmp_dir, "t")
     write_table(spark.range(100).repartition(4), path)
-    inv = file_inventory(spark.read.parquet(path)).collect()
-    assert len(inv) == 4 and sum(r.n_rows for r in inv) == 100
+    spark.range(0).write.mode("append").parquet(path)  # a file without rows
+    inv = file_inventory(spark, path).collect()
+    assert len(inv) == 5 and sum(r.n_rows for r in inv) == 100
+    assert min(r.n_rows for r in inv) == 0
     assert all(r.file_size > 0 and r.file_name.endswith(".parquet") for r in inv)
 
 
@@ -36,6 +38,12 @@ def test_write_json_lines_round_trip(spark, tmp_dir):
     assert spark.read.json(path).count() == 5
 
 
+def test_write_json_keeps_null_fields(spark, tmp_dir):
+    df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
+    rows = spark.read.text(write_json(df, os.path.join(tmp_dir, "nulls"))).collect()
+    assert sorted(r.value for r in rows) == ['{"a":1,"b":null}', '{"a":2,"b":"x"}']
+
+
 def test_batch_run_matches_in_memory_gold(spark, tmp_dir):
     bronze_path = write_table(_bronze(spark), os.path.join(tmp_dir, "bronze"))
     for variant in ("local", "cloud"):
@@ -162,6 +170,80 @@ def test_incremental_runs_equal_full_recompute(spark, tmp_dir):
             assert df.select(*g.columns).exceptAll(g).count() == 0, (variant, name)
 
 
+def _readings(spark, rows):
+    """Structured Bronze rows from (city_id, city, measured, ingested)."""
+    from airlake.schemas import EVENT_SCHEMA
+
+    full = [("openmeteo", 1.0, 2.0, i, c, "X", m, 10, 1.0, 2.0, 3.0, t) for i, c, m, t in rows]
+    return spark.createDataFrame(full, EVENT_SCHEMA)
+
+
+def test_readings_in_the_future_at_arrival_become_valid_later(spark, tmp_dir):
+    """A day east of UTC, fetched at 20:30 UTC with its last hours still ahead:
+    after the next batch the day has all 24 hours, as a full recompute has."""
+    from airlake.plans.medallion import run_incremental
+
+    day = [(8, "East", f"2024-03-01T{h:02d}:00", "2024-03-01T20:30:00.000000+00:00") for h in range(24)]
+    after = [(8, "East", "2024-03-02T00:00", "2024-03-02T20:30:00.000000+00:00")]
+    root = os.path.join(tmp_dir, "east")
+    first, second = "2024-03-01 20:30:00", "2024-03-02 20:30:00"
+    paths = run_incremental(spark, _readings(spark, day), root, as_of=first)
+    assert spark.read.parquet(paths["silver"]).count() == 21
+    for _ in range(2):  # the second time as a replay
+        run_incremental(spark, _readings(spark, after), root, as_of=second)
+        got = spark.read.parquet(paths["silver"]).drop("measurement_date")
+        full = silver(_readings(spark, day + after), second)
+        assert got.where("to_date(measurement_timestamp) = '2024-03-01'").count() == 24
+        assert got.exceptAll(full.select(*got.columns)).count() == 0 and got.count() == full.count()
+        for name, df in gold_tables(full, "local").items():
+            g = spark.read.parquet(paths[name])
+            assert g.exceptAll(df.select(*g.columns)).count() == 0, name
+            assert df.select(*g.columns).exceptAll(g).count() == 0, name
+
+
+def test_lost_freshness_table_is_rebuilt_with_every_city(spark, tmp_dir):
+    """An interrupted overwrite left the published table empty and the next
+    batch touches one city only."""
+    from airlake.plans.medallion import run_incremental
+
+    root, now = os.path.join(tmp_dir, "lost"), "2024-03-05 00:00:00"
+    both = [(i, c, "2024-03-01T00:00", "2024-03-01T01:00:00.000000+00:00") for i, c in ((1, "A"), (2, "B"))]
+    paths = run_incremental(spark, _readings(spark, both), root, as_of=now)
+    spark.createDataFrame([], spark.read.parquet(paths["data_freshness"]).schema).write.mode("overwrite").parquet(
+        paths["data_freshness"]
+    )
+    run_incremental(
+        spark, _readings(spark, [(1, "A", "2024-03-02T00:00", "2024-03-02T01:00:00.000000+00:00")]), root, as_of=now
+    )
+    assert {r.city for r in spark.read.parquet(paths["data_freshness"]).collect()} == {"A", "B"}
+
+
+def test_unreadable_silver_is_not_taken_for_a_first_run(spark, tmp_dir):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from airlake.plans.medallion import run_silver_incremental
+
+    path = os.path.join(tmp_dir, "emptied")
+    os.makedirs(path)
+    batch = _readings(spark, [(1, "A", "2024-03-01T00:00", "2024-03-01T01:00:00.000000+00:00")])
+    with pytest.raises(AnalysisException):
+        run_silver_incremental(spark, batch, path, as_of="2024-03-05 00:00:00")
+
+
+def test_slot_table_keeps_the_old_version_until_the_new_one_is_named(spark, tmp_dir):
+    from airlake.plans.medallion import SlotTable
+
+    t = SlotTable(spark, os.path.join(tmp_dir, "slots"))
+    assert t.read() is None
+    t.write(spark.range(3))
+    # a write that was interrupted before its version was named
+    spark.range(100).write.mode("overwrite").parquet(f"{t.root}/slot-{(t.version() + 1) % 2}")
+    assert t.read().count() == 3
+    t.write(t.read().where("id > 0"))
+    assert t.read().count() == 2
+
+
 def test_incremental_rewrites_only_touched_date_partitions(spark, tmp_dir):
     import glob
 
@@ -195,7 +277,7 @@ def test_incremental_after_partitioned_full_run_and_refuses_unpartitioned(spark,
     from airlake.plans.medallion import run_silver, run_silver_incremental
 
     bronze_path = write_table(_bronze(spark), os.path.join(tmp_dir, "bronze"))
-    flat = run_silver(spark, bronze_path, os.path.join(tmp_dir, "flat"), as_of=fixtures.FIXTURE_AS_OF)
+    flat = run_silver(spark, bronze_path, os.path.join(tmp_dir, "flat"), as_of=fixtures.FIXTURE_AS_OF, partition_by=None)
     with pytest.raises(ValueError):
         run_silver_incremental(spark, _bronze(spark), flat, as_of=fixtures.FIXTURE_AS_OF)
     parted = run_silver(

@@ -37,7 +37,7 @@ def test_available_now_run_rerun_and_new_file(spark, tmp_dir):
     assert total == all_rows
 
 
-def test_raw_form_and_memory_preview(spark, tmp_dir):
+def test_raw_form_and_preview(spark, tmp_dir):
     src = os.path.join(tmp_dir, "src")
     write_table(_records(spark, 0, 100), src)
     raw = bronze_stream(file_value_stream(spark, src), form="raw")
@@ -46,6 +46,8 @@ def test_raw_form_and_memory_preview(spark, tmp_dir):
     rows = spark.sql("SELECT * FROM airlake_raw_preview LIMIT 20").collect()
     assert len(rows) == 20 and rows[0].json_string is not None
     assert spark.table("airlake_raw_preview").count() == 100
+    preview_stream(raw, "airlake_raw_short", rows=7)
+    assert spark.table("airlake_raw_short").count() == 7
 
 
 def test_default_trigger_keeps_running_and_picks_up_new_files(spark, tmp_dir):
@@ -114,3 +116,5 @@ def test_incremental_stream_matches_full_recompute_after_each_file(spark, tmp_di
         g = spark.read.parquet(os.path.join(root, "gold", "daily_city_ranking"))
         assert g.exceptAll(ranking.select(*g.columns)).count() == 0
         assert ranking.select(*g.columns).exceptAll(g).count() == 0
+        landed = spark.read.parquet(os.path.join(root, "bronze")).drop("batch_id")
+        assert landed.count() == parse_events(fixtures.aqi_json(events.where(f"event_id < {hi}"))).count()
