@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlake.llm.common import add_columns, materialize, slices, texts_of
+from airlake.llm.common import add_columns, materialize, texts_of
 from airlake.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -222,15 +222,15 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def components(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, component_id): the smallest doc_id reachable, for materialised
-    ``prints`` (doc_id, fp)."""
+    """(fp, root, component_id) for materialised ``prints`` (doc_id, fp): the
+    smallest fingerprint of the component and the smallest doc_id in it."""
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-nodes")
     roots = connected_components(links(nodes.select("fp"), radius))
     member = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root")
     )
     ids = member.groupBy("root").agg(F.min("rep").alias("component_id"))
-    return member.join(ids, "root").select("fp", "component_id")
+    return member.join(ids, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
@@ -244,11 +244,24 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = R
 def one_per_group(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row
     with its smallest doc_id (one of them if several have it)."""
-    marked = add_fingerprint(docs, words, "_fp")
-    prints = materialize(marked.select("doc_id", F.col("_fp").alias("fp")), "simhash")
-    groups = components(prints, radius).toDF("_fp", "_component")
-    kept = marked.join(groups, "_fp").where(F.col("doc_id").eqNullSafe(F.col("_component")))
-    repeated = prints.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
-    once = kept.join(repeated, kept["doc_id"].eqNullSafe(repeated["_again"]), "left_anti")
-    again = kept.join(repeated, kept["doc_id"].eqNullSafe(repeated["_again"]), "left_semi")
-    return once.union(again.dropDuplicates(["_component"])).select(*docs.columns)
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    marked = add_fingerprint(keyed.select("doc_id", "_key", "text"), words).drop("text")
+    prints = materialize(marked, "simhash")
+    heads = (
+        prints.join(components(prints, radius), "fp")
+        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("root", "doc_id", "_key")
+        .agg(F.count("*").alias("_rows"))
+        .groupBy("root", F.col("doc_id").alias("_doc"))
+        .agg(F.min_by(F.struct("_key", "_rows"), "_key").alias("_first"))
+        .select("_doc", F.col("_first._key").alias("_head"), "_first._rows")
+    )
+    heads = materialize(heads, "simhash-heads")
+
+    def rows(of: DataFrame) -> DataFrame:
+        same = keyed["doc_id"].eqNullSafe(of["_doc"]) & (keyed["_key"] == of["_head"])
+        return keyed.join(of, same).select(*keyed.columns)
+
+    # equal rows (id and text) are rare; only they need to be told apart
+    again = rows(heads.where("_rows > 1")).dropDuplicates(["doc_id", "_key"])
+    return rows(heads.where("_rows = 1")).union(again).select(*docs.columns)

@@ -118,6 +118,12 @@ def test_one_row_of_each_group_stays(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(groups)
 
 
+def test_repeated_ids_leave_one_row_of_each_group(spark):
+    rows = [(1, BASE), (1, BASE), (1, BASE + "x"), (2, BASE), (3, "other words in here"), (3, "something very different again")]
+    kept = sorted(r.doc_id for r in simhash.one_per_group(frame(spark, rows)).collect())
+    assert kept == [1, 3, 3]
+
+
 def test_empty_table_and_only_null_ids(spark):
     assert simhash.near_duplicates(frame(spark, [])).collect() == []
     assert simhash.one_per_group(frame(spark, [])).collect() == []
