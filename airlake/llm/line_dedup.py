@@ -179,6 +179,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         .where("first < last")
         .select("key", "first")
     )
+    # written first, so that the join's inputs are plain shuffles, which Spark
+    # can split where one key has very many rows
+    repeated = materialize(repeated, "lines-repeated")
     drops = (
         suspects.join(repeated, "key")
         .where("doc_id > first")

@@ -176,7 +176,11 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(u, v): links between distinct fingerprints ``fp`` that connect all that
     are within ``radius`` bits of each other."""
     cells = prints.select("fp", F.inline(_cell_keys(block_count(prints.count(), radius), radius)))
-    sizes = cells.groupBy("choice", "key").agg(F.count("*").alias("n")).where("n > 1")
+    # written first, so that the join's inputs are plain shuffles, which Spark
+    # can split where one cell has very many rows
+    sizes = materialize(
+        cells.groupBy("choice", "key").agg(F.count("*").alias("n")).where("n > 1"), "simhash-cells"
+    )
     parts = F.ceil(F.col("n") / CELL_ROWS)
     split = (
         cells.join(sizes, ["choice", "key"])

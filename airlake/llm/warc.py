@@ -192,6 +192,9 @@ def mark_revisits(pages: DataFrame) -> DataFrame:
         .where("n > 1 and keep is not null")
         .select("key", "keep")
     )
+    # written first, so that the join's inputs are plain shuffles, which Spark
+    # can split where one payload has very many rows
+    groups = materialize(groups, "warc-groups")
     return facts.join(groups, "key", "left").select("page_id", "url", "payload", F.sha1("payload").alias("sha1"), "keep")
 
 
