@@ -185,13 +185,13 @@ def taken_words(docs: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it is taken."""
-    uses = _uses(docs)[1].withColumnRenamed("spot", "_spot")
-    keyed = docs.withColumn("_spot", spot_of("doc_id", "text"))
+    whole = F.struct(*[F.col(c) for c in docs.columns])  # keeps all names apart from the mix's own
+    keyed = docs.select("doc_id", "source", spot_of("doc_id", "text").alias("spot"), whole.alias("row"))
     return (
-        _with(keyed, uses, "doc_id", "source", "_spot")
+        _with(keyed, _uses(docs)[1], "doc_id", "source", "spot")
         .where("uses > 0")
-        .withColumn("_use", F.explode(F.sequence(F.lit(1).cast("long"), F.col("uses"))))
-        .select(*docs.columns)
+        .withColumn("use", F.explode(F.sequence(F.lit(1).cast("long"), F.col("uses"))))
+        .select("row.*")
     )
 
 

@@ -254,4 +254,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject."""
-    return score_documents(docs, train(docs, labels)).where("predicted = 1").select(*docs.columns)
+    whole = F.struct(*[F.col(c) for c in docs.columns])  # its own score column, if any, stays as it is
+    rows = docs.select("text", whole.alias("row"))
+    return score_documents(rows, train(docs, labels)).where("predicted = 1").select("row.*")

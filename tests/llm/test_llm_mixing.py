@@ -8,7 +8,7 @@ import pytest
 
 from airlake.llm import mixing
 
-SCHEMA = "doc_id long, source string, text string, target string, lang string"
+SCHEMA = "doc_id long, source string, text string, target string, uses string"
 
 
 def frame(spark, rows):

@@ -71,6 +71,8 @@ def test_nulls_empty_long_repeated_and_missing_labels(spark):
     assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
     assert len({r.score for r in got if r.doc_id in (1, 2)}) == 1
     assert [r.held_out for r in got if r.doc_id is None] == [False]
+    kept = quality.keep_good(docs, known)
+    assert kept.columns == docs.columns and {r.score for r in kept.collect()} <= {9.0}
     none = quality.quality_scores(docs, known.limit(0)).collect()
     assert {r.score for r in none} == {0.5}
     assert quality.quality_scores(docs.limit(0), known).collect() == []
