@@ -8,7 +8,8 @@ make two engines agree:
   HALF_UP rounding of a double's decimal text;
 - ranks are cast to INTEGER (Spark's rank type);
 - timestamps are naive: measurement = wall clock, ingestion = UTC wall clock;
-- ``NULLS LAST`` is spelled out wherever order matters.
+- ``NULLS LAST`` is spelled out wherever order matters;
+- of readings with one key and ingestion time the greatest measures win.
 """
 
 from __future__ import annotations
@@ -97,7 +98,9 @@ valid AS (
 silver AS (
   SELECT * FROM valid
   QUALIFY row_number() OVER (PARTITION BY city_id, measurement_timestamp
-                             ORDER BY ingestion_timestamp_utc DESC NULLS LAST) = 1
+                             ORDER BY ingestion_timestamp_utc DESC NULLS LAST,
+                               european_aqi DESC NULLS LAST, pm10 DESC NULLS LAST,
+                               pm2_5 DESC NULLS LAST, nitrogen_dioxide DESC NULLS LAST) = 1
 ),
 dated AS (
   SELECT *, CAST(measurement_timestamp AS DATE) AS measurement_date FROM silver

@@ -21,7 +21,7 @@ from airlake.operators import bronze, gold, ingest, silver
 from airlake.plans import catalog
 from airlake.plans.medallion import run_batch, run_incremental, run_silver_incremental
 from airlake.plans.reports import run_report
-from airlake.schemas import EVENT_SCHEMA
+from airlake.schemas import EVENT_SCHEMA, MEASURES
 from airlake.session import scratch_path
 from airlake.sinks.writers import counted, file_inventory, preview_stream, to_kafka_value, write_json, write_table
 from airlake.sources import fixtures
@@ -65,7 +65,7 @@ def _flagged(spark, sf, cities="reference") -> DataFrame:
 
 
 def _silver(spark, sf, cities="reference") -> DataFrame:
-    return silver.silver(_bronze(spark, sf, cities), as_of=AS_OF)
+    return silver.silver(_bronze(spark, sf, cities), as_of=AS_OF, tie_break=MEASURES)
 
 
 def _daily(spark, sf, variant, sort=False) -> DataFrame:
@@ -121,7 +121,7 @@ def q_latest_readings_incremental(spark, sf):
     readings of one key arrive in both batches); equals ``latest_readings``."""
     silver_path = scratch_path(spark, "silver-incremental")
     for batch in _halves(spark, sf):
-        run_silver_incremental(spark, batch, silver_path, as_of=AS_OF)
+        run_silver_incremental(spark, batch, silver_path, as_of=AS_OF, tie_break=MEASURES)
     return present(spark.read.parquet(silver_path).drop("measurement_date"))
 
 
@@ -137,7 +137,7 @@ def q_latest_readings_incremental_advancing(spark, sf):
     later. Equals ``latest_readings``, a full recompute at the last ``as_of``."""
     silver_path = scratch_path(spark, "silver-advancing")
     for batch, as_of in zip(_halves(spark, sf), (fixtures.EARLY_AS_OF, AS_OF), strict=True):
-        run_silver_incremental(spark, batch, silver_path, as_of=as_of)
+        run_silver_incremental(spark, batch, silver_path, as_of=as_of, tie_break=MEASURES)
     return present(spark.read.parquet(silver_path).drop("measurement_date"))
 
 
@@ -145,7 +145,7 @@ def q_data_freshness_incremental(spark, sf):
     """Freshness after two incremental runs with an advancing clock."""
     root = scratch_path(spark, "freshness-incremental")
     for batch, as_of in zip(_halves(spark, sf), (fixtures.EARLY_AS_OF, AS_OF), strict=True):
-        paths = run_incremental(spark, batch, root, "local", as_of=as_of)
+        paths = run_incremental(spark, batch, root, "local", as_of=as_of, tie_break=MEASURES)
     return present(spark.read.parquet(paths["data_freshness"]))
 
 
@@ -293,7 +293,7 @@ def q_catalog_reports(spark, sf):
     """Batch run, Gold registered as external tables of a schema, and the
     worst-day report by table name, for the tables the schema lists."""
     bronze_path = write_table(_bronze(spark, sf), scratch_path(spark, "catalog-bronze"))
-    paths = run_batch(spark, bronze_path, scratch_path(spark, "catalog-lake"), "cloud", as_of=AS_OF)
+    paths = run_batch(spark, bronze_path, scratch_path(spark, "catalog-lake"), "cloud", as_of=AS_OF, tie_break=MEASURES)
     schema = f"airlake_{uuid.uuid4().hex}"
     catalog.register_tables(spark, schema, {k: v for k, v in paths.items() if k != "silver"})
     listed = catalog.list_tables(spark, schema).count()
