@@ -1,9 +1,9 @@
 """Exact top-k by inner product with a Voronoi join.
 
-Vectors become integers, floor(64 x). Pivots are drawn from the queries, as many as a
-cost estimate on a sample finds best, and every query belongs to its nearest pivot's group. Two summaries bound what a
-group can need: its radius R (largest distance of a query from the pivot p),
-and the (k + 1) largest lower bounds p.x - R |x| over all data. As
+Vectors become integers, floor(64 x). Pivots are drawn from the queries, as
+many as a cost estimate on a sample finds best, and every query belongs to its
+nearest pivot's group. Two summaries bound what a group can need: its radius R (largest distance of a query from the pivot p),
+and the (k + 1) largest lower bounds p.x - R |x| over all ids of the data. As
 q.x = p.x + (q - p).x, every query of the group has at least k other rows that
 score the (k + 1)-th of these bounds, theta, or more, and a row can only
 be among its best if p.x + R |x| >= theta. Only such rows are sent to the group.
@@ -191,39 +191,67 @@ def _route(rows: DataFrame, pivots, radius, theta, dim: int) -> DataFrame:
     return rows.mapInArrow(run, "vec_id bigint, v array<bigint>, grp int")
 
 
+class Highest:
+    """The highest lower bounds of one group, at most one of each id: a query
+    leaves out all rows with its id, so bounds of k + 1 ids leave k others."""
+
+    def __init__(self, keep: int):
+        self.keep, self.bounds, self.ids = keep, np.empty(0), np.empty(0, dtype=np.int64)
+
+    def add(self, bounds: np.ndarray, ids: np.ndarray) -> None:
+        if len(self.bounds) == self.keep:
+            above = bounds > self.bounds[-1]
+            bounds, ids = bounds[above], ids[above]
+        if len(bounds):
+            bounds, ids = np.concatenate((self.bounds, bounds)), np.concatenate((self.ids, ids))
+            order = np.argsort(-bounds, kind="stable")
+            _, first = np.unique(ids[order], return_index=True)
+            order = order[np.sort(first)][: self.keep]
+            self.bounds, self.ids = bounds[order], ids[order]
+
+    def packed(self) -> bytes:
+        return self.bounds.tobytes() + self.ids.tobytes()
+
+    def add_packed(self, data: bytes) -> None:
+        half = len(data) // 2
+        self.add(np.frombuffer(data[:half]), np.frombuffer(data[half:], dtype=np.int64))
+
+
 def _thresholds(rows: DataFrame, pivots, radius, k: int, dim: int) -> np.ndarray:
-    """theta of every group: the (k + 1)-th largest lower bound of all rows."""
+    """theta of every group: the (k + 1)-th highest lower bound of all rows."""
     shared = rows.sparkSession.sparkContext.broadcast((pivots, radius))
-    keep = k + 1
 
     def summarise(batches):
         pivots, radius = shared.value
-        top = np.full((len(pivots), keep), -np.inf)
+        tops = {g: Highest(k + 1) for g in range(len(pivots))}
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
-                lower, _ = group_bounds(matrix(batch.slice(at, 1024).column("v"), dim), pivots, radius)
-                top = -np.sort(-np.concatenate((top, lower.T), axis=1), axis=1)[:, :keep]
-        yield _summary({g: t for g, t in enumerate(top)})
+                part = batch.slice(at, 1024)
+                lower, _ = group_bounds(matrix(part.column("v"), dim), pivots, radius)
+                ids = part.column("vec_id").to_numpy()
+                for g, top in tops.items():
+                    top.add(lower[:, g], ids)
+        yield _summary(tops)
 
     def merge(batches):
-        tops: dict[int, np.ndarray] = {}
+        tops: dict[int, Highest] = {}
         for batch in batches:
             for g, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                both = np.concatenate((tops.get(g, np.empty(0)), np.frombuffer(data)))
-                tops[g] = -np.sort(-both)[:keep]
+                tops.setdefault(g, Highest(k + 1)).add_packed(data)
         yield _summary(tops)
 
-    parts = rows.select("v").mapInArrow(summarise, "grp int, top binary")
+    parts = rows.mapInArrow(summarise, "grp int, top binary")
     theta = np.full(len(pivots), -np.inf)
     for g, data in parts.repartition("grp").mapInArrow(merge, "grp int, top binary").collect():
-        top = np.frombuffer(data)
-        theta[g] = top[k] if len(top) > k else -np.inf
+        top = Highest(k + 1)
+        top.add_packed(data)
+        theta[g] = top.bounds[k] if len(top.bounds) > k else -np.inf
     return theta
 
 
-def _summary(tops: dict[int, np.ndarray]) -> pa.RecordBatch:
+def _summary(tops: dict[int, Highest]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(list(tops), pa.int32()), pa.array([t.tobytes() for t in tops.values()], pa.binary())],
+        [pa.array(list(tops), pa.int32()), pa.array([t.packed() for t in tops.values()], pa.binary())],
         names=["grp", "top"],
     )
 

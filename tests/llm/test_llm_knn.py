@@ -103,6 +103,13 @@ def test_materialised_inputs_are_enough(spark):
     assert [r.rank for r in sorted(got)] == [1, 2, 3]
 
 
+def test_rows_that_repeat_the_querys_id_do_not_raise_the_threshold(spark, monkeypatch):
+    """Forty rows of the query's own id outscore all others."""
+    monkeypatch.setattr(knn, "pivot_count", lambda *a: 2)
+    rows = [(20, [9.0, 0.0])] * 40 + [(40, [0.0, 9.0])] + [(100 + i, [0.01 * i, 0.0]) for i in range(1, 19)] + vectors(30, 2, 8, 0.1)
+    assert run(spark, rows) == brute(rows)
+
+
 def test_pivots_are_many_where_bounds_exclude_and_few_where_they_cannot():
     rng = np.random.default_rng(7)
     centres = rng.integers(-2000, 2000, (16, 8))
