@@ -17,6 +17,7 @@ like an output are replaced.
 
 from __future__ import annotations
 
+import codecs
 import re
 from array import array
 
@@ -38,8 +39,7 @@ CACHED_CHARS = 64
 
 
 class PieceModel:
-    """Vocabulary tables of a BPE model with byte fallback (a bounded size:
-    the model file's). Built once on the driver and broadcast."""
+    """Vocabulary tables of a BPE model with byte fallback."""
 
     def __init__(self, model: bytes):
         from sentencepiece import sentencepiece_model_pb2 as pb2
@@ -78,12 +78,6 @@ class PieceModel:
         # text may be cut before a run of spaces if no piece goes on past one
         self.cuts_at_space = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
         self.cuts_at_newline = "\n" not in inner
-        self._encoder: Encoder | None = None
-
-    def encoder(self) -> Encoder:
-        if self._encoder is None:
-            self._encoder = Encoder(self)
-        return self._encoder
 
     def remerge(self, text: str) -> list[str]:
         """The merges of the model on ``text``: best score first, then leftmost."""
@@ -259,12 +253,29 @@ def _replace_each_byte(error):
     return "�" * (error.end - error.start), error.end
 
 
+def _shared(df: DataFrame, model: bytes):
+    """The model file as a broadcast (its size is bounded); a model that cannot
+    be used is refused here, on the driver."""
+    PieceModel(model)
+    return df.sparkSession.sparkContext.broadcast({"model": model})
+
+
+def _kept(held: dict, name: str, kind):
+    """``kind`` built from the broadcast model; a worker keeps it, with its
+    caches, from task to task."""
+    if "tables" not in held:
+        held["tables"] = PieceModel(held["model"])
+    if name not in held:
+        held[name] = kind(held["tables"])
+    return held[name]
+
+
 def encode(df: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """Add ``ids_col`` (array of int): the whole text's pieces, no begin or end ids."""
-    shared = df.sparkSession.sparkContext.broadcast(PieceModel(model))
+    shared = _shared(df, model)
 
     def make():
-        encoder = shared.value.encoder()
+        encoder = _kept(shared.value, "encoder", Encoder)
 
         def compute(batch):
             coded = [encoder.encode(t) for t in texts_of(batch, text_col)]
@@ -280,13 +291,11 @@ def encode(df: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "
 
 def decode(df: DataFrame, model: bytes, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """Add ``text_col``: the text that the ids stand for (null ids: empty)."""
-    shared = df.sparkSession.sparkContext.broadcast(PieceModel(model))
+    shared = _shared(df, model)
 
     def make():
-        import codecs
-
         codecs.register_error("replace_each_byte", _replace_each_byte)
-        decoder = Decoder(shared.value)
+        decoder = _kept(shared.value, "decoder", Decoder)
 
         def compute(batch):
             column = batch.column(ids_col)
