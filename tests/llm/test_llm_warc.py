@@ -77,6 +77,7 @@ def test_payloads_and_random_access(spark):
 
 
 def test_bundles_are_plain_zstandard_with_a_seek_table(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FRAME_BYTES", 3000)  # several frames whatever the order of the rows
     index = warc.write_archives(frame(spark, ROWS).coalesce(1), shared_path(spark, "warc-test"))
     path = index.first().bundle.removeprefix("file:")
     with open(path, "rb") as f:
@@ -86,7 +87,7 @@ def test_bundles_are_plain_zstandard_with_a_seek_table(spark, monkeypatch):
     # a reader that knows nothing of the seek table reads all frames
     plain = zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True).read()
     assert plain.count(b"WARC/1.1\r\nWARC-Type: ") == len(ROWS) and b"\r\nWARC-Type: fake" not in plain
-    assert len(reader.sizes) >= 2 and len(plain) == sum(n for _, n in reader.sizes)
+    assert len(reader.sizes) > 2 and len(plain) == sum(n for _, n in reader.sizes)
 
 
 def test_a_file_without_seek_table_is_refused(tmp_path):
