@@ -10,7 +10,8 @@ by a logistic curve fitted to the training documents.
 
 Training uses a bounded sample: of the labelled training documents the
 ``TRAIN_DOCS`` with the lowest hash of their id, and of each the first
-``TRAIN_LINES`` lines. Scoring has no such bounds.
+``TRAIN_LINES`` lines. Of rows with the same id, the text with the lowest hash
+is learned from. Scoring has no such bounds.
 
 Defined results: null or empty text is one empty line and is scored like any
 other; a document with several labels counts as the highest; null labels and
@@ -213,8 +214,15 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple:
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["y", "x", "n"]
                 )
 
-    # at most TRAIN_DOCS ids: a proven bound for the broadcast
-    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").drop("doc_id")
+    # at most TRAIN_DOCS ids are broadcast; one text of each leaves the aggregation, however many rows hold its id
+    text = F.coalesce(F.col("text"), F.lit(""))
+    sample = (
+        docs.select("doc_id", text.alias("text"))
+        .join(F.broadcast(picked), "doc_id")
+        .groupBy("doc_id", "_label")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("spot"), "text")).alias("_row"))
+        .select("_row.text", "_label")
+    )
     rows = sample.mapInArrow(features, "y int, x binary, n binary").collect()
     rows.sort(key=lambda r: (r["y"], bytes(r["x"])))  # the same order in every run
     labels_ = [r["y"] for r in rows]

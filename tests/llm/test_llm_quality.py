@@ -76,3 +76,19 @@ def test_nulls_empty_long_repeated_and_missing_labels(spark):
     none = quality.quality_scores(docs, known.limit(0)).collect()
     assert {r.score for r in none} == {0.5}
     assert quality.quality_scores(docs.limit(0), known).collect() == []
+
+
+def test_a_repeated_id_is_one_training_document(spark, monkeypatch):
+    """Many rows of one id reach the driver as one text and weigh as one label."""
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda chains, labels: seen.append(labels) or fit(chains, labels))
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][:20]
+    rows = [(i, f"some words of line {i}.\n" * 3) for i in ids] + [(ids[0], f"|||| #### {n}") for n in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    known = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, quality int")
+    assert len(quality.quality_scores(docs, known).collect()) == 320
+    assert len(seen[0]) == 20 and sum(seen[0]) == 10
+    first = quality.train(docs, known)
+    again = quality.train(docs.orderBy("text"), known)
+    assert np.array_equal(first[0], again[0]) and first[2:] == again[2:]
