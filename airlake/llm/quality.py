@@ -8,10 +8,11 @@ the marginals of *good*, weighted by line length, average to the document's
 share of good text. The score is the probability of label 1 given that share,
 by a logistic curve fitted to the training documents.
 
-Training uses a bounded sample: of the labelled training documents the
-``TRAIN_DOCS`` with the lowest hash of their id, and of each the first
-``TRAIN_LINES`` lines. Of rows with the same id, the text with the lowest hash
-is learned from. Scoring has no such bounds.
+Training uses a bounded sample of whole documents: of the labelled training
+documents the ``TRAIN_DOCS`` with the lowest hash of their id, and of these, in
+the same order, as many as have ``SAMPLE_LINES`` lines in all; a document with
+more lines than that is not learned from. Of rows with the same id, the text
+with the lowest hash is learned from. Scoring has no such bounds.
 
 Defined results: null or empty text is one empty line and is scored like any
 other; a document with several labels counts as the highest; null labels and
@@ -30,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlake.llm.common import add_columns, slices, texts_of
+from airlake.llm.common import add_columns, materialize, slices, texts_of
 from airlake.llm.language_id import held_out
 
 TRAIN_DOCS = 6000
-TRAIN_LINES = 64
+#: Lines of the whole sample: 39 features of 8 bytes each, 120 MB.
+SAMPLE_LINES = 384_000
 EPOCHS = 150
 LEARNING_RATE = 0.1
 PENALTY = 1e-3
@@ -118,49 +120,42 @@ def marginals(odds: np.ndarray, links: np.ndarray) -> np.ndarray:
 
 def fit(chains: list[np.ndarray], labels: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """(feature weights, 2 x 2 link scores) of highest penalised likelihood, by
-    full-batch gradient steps (Adam). All chains are run together, padded."""
-    longest = max(map(len, chains))
-    x = np.zeros((longest, len(chains), 3 * N_OWN))
-    real = np.zeros((longest, len(chains)), dtype=bool)
-    for i, c in enumerate(chains):
-        x[: len(c), i] = c
-        real[: len(c), i] = True
-    y = np.array(labels)
-    at = np.arange(len(y))
-    pairs = real[1:].sum(axis=0)
+    full-batch gradient steps (Adam). All chains lie one behind another; the
+    recursions go by the ratio of good to bad, one number per line."""
+    x = np.concatenate(chains)
+    size = len(x)
+    stops = np.cumsum([len(c) for c in chains])
+    bounds = list(zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True))
+    y = np.repeat(np.array(labels), [len(c) for c in chains])
+    linked = np.ones(size - 1, dtype=bool)  # a line and the next are of one chain
+    linked[stops[:-1] - 1] = False
+    seen = np.zeros((2, 2))
+    np.add.at(seen, (np.array(labels), np.array(labels)), [len(c) - 1 for c in chains])
     weights, links = np.zeros(3 * N_OWN), np.zeros((2, 2))
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (weights, links)]
-    size = real.sum()
     for step in range(1, EPOCHS + 1):
-        odds = np.clip(x @ weights, -30, 30)
-        potential = np.exp(np.stack((-odds / 2, odds / 2), axis=-1))  # line, chain, label
-        potential[~real] = 1.0
-        link = np.exp(links)
-        forward, backward = np.empty_like(potential), np.empty_like(potential)
-        forward[0] = potential[0] / potential[0].sum(axis=1, keepdims=True)
-        for t in range(1, longest):
-            new = (forward[t - 1] @ link) * potential[t]
-            new /= new.sum(axis=1, keepdims=True)
-            forward[t] = np.where(real[t][:, None], new, forward[t - 1])
-        backward[-1] = 1.0
-        expected = np.zeros((2, 2))
-        for t in range(longest - 1, 0, -1):
-            ahead = potential[t] * backward[t]
-            joint = forward[t - 1][:, :, None] * link * ahead[:, None, :]
-            joint /= joint.sum(axis=(1, 2), keepdims=True)
-            expected += joint[real[t]].sum(axis=0)
-            new = ahead @ link.T
-            new /= new.sum(axis=1, keepdims=True)
-            backward[t - 1] = np.where(real[t][:, None], new, 1.0)
-        both = forward * backward
-        good = both[..., 1] / both.sum(axis=-1)
-        seen = np.zeros((2, 2))
-        np.add.at(seen, (y, y), pairs[at])
-        slope = np.where(real, y[None, :] - good, 0.0)
-        grads = (
-            np.einsum("tc,tcf->f", slope, x) / size - PENALTY * weights,
-            (seen - expected) / size - PENALTY * links,
-        )
+        ratio = np.exp(np.clip(x @ weights, -30, 30))
+        (bb, bg), (gb, gg) = np.exp(links).tolist()
+        own = ratio.tolist()
+        forward, backward = [], [1.0] * size
+        for start, stop in bounds:
+            r = own[start]
+            forward.append(r)
+            for p in own[start + 1 : stop]:
+                r = p * (bg + gg * r) / (bb + gb * r)
+                forward.append(r)
+            r = 1.0
+            for t in range(stop - 1, start, -1):
+                r *= own[t]
+                backward[t - 1] = r = (gb + gg * r) / (bb + bg * r)
+        before, after = np.array(forward), np.array(backward)
+        both = before * after
+        slope = y - both / (1 + both)
+        ahead = (ratio * after)[1:][linked]
+        before = before[:-1][linked]
+        joint = np.stack((np.full_like(ahead, bb), bg * ahead, gb * before, gg * before * ahead))
+        expected = (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2)
+        grads = (slope @ x / size - PENALTY * weights, (seen - expected) / size - PENALTY * links)
         for value, grad, (m, v) in zip((weights, links), grads, moments, strict=True):
             m += 0.1 * (grad - m)
             v += 0.01 * (grad * grad - v)
@@ -187,6 +182,18 @@ def calibrate(shares: list[float], labels: list[int]) -> tuple[float, float]:
     return float(curve[0]), float(curve[1])
 
 
+def last_spot(sizes: list[tuple[int, int]]) -> int | None:
+    """Where the sample ends: of documents (spot, lines) in order of spot, the
+    last one up to which all have at most ``SAMPLE_LINES`` lines."""
+    total, last = 0, None
+    for spot, n in sorted(sizes):
+        total += n
+        if total > SAMPLE_LINES:
+            break
+        last = spot
+    return last
+
+
 def train(docs: DataFrame, labels: DataFrame) -> tuple:
     """(weights, links, curve, share of label 1) learned from labelled documents
     that are not held out; weights are None without labels of both kinds."""
@@ -206,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple:
         for part in slices(batches):
             rows = []
             for text, label in zip(texts_of(part, "text"), part.column("_label").to_pylist(), strict=True):
-                lines = text.split("\n", TRAIN_LINES)[:TRAIN_LINES]
+                lines = text.split("\n")
                 rows.append((int(label), chain_features(lines).tobytes(), line_lengths(lines).tobytes()))
             if rows:
                 kinds = (pa.int32(), pa.binary(), pa.binary())
@@ -220,9 +227,13 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple:
         docs.select("doc_id", text.alias("text"))
         .join(F.broadcast(picked), "doc_id")
         .groupBy("doc_id", "_label")
-        .agg(F.min(F.struct(F.xxhash64("text").alias("spot"), "text")).alias("_row"))
-        .select("_row.text", "_label")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("_row"))
+        .select(F.xxhash64("doc_id").alias("spot"), "_row.text", "_label")
     )
+    n_lines = F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"))) + 1
+    sample = materialize(sample.withColumn("n", n_lines).where(F.col("n") <= SAMPLE_LINES), "quality-sample")
+    last = last_spot(sample.select("spot", "n").collect())  # two numbers per document, TRAIN_DOCS at most
+    sample = sample.where(F.col("spot") <= last).select("text", "_label")
     rows = sample.mapInArrow(features, "y int, x binary, n binary").collect()
     rows.sort(key=lambda r: (r["y"], bytes(r["x"])))  # the same order in every run
     labels_ = [r["y"] for r in rows]

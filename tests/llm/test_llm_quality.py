@@ -92,3 +92,55 @@ def test_a_repeated_id_is_one_training_document(spark, monkeypatch):
     first = quality.train(docs, known)
     again = quality.train(docs.orderBy("text"), known)
     assert np.array_equal(first[0], again[0]) and first[2:] == again[2:]
+
+
+def test_training_reads_every_line_of_a_document(spark, monkeypatch):
+    """What differs after the first hundred lines is learned."""
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda chains, labels: seen.append([len(c) for c in chains]) or fit(chains, labels))
+    head, ends = "The same plain line of words.\n" * 100, ("#### |||| 0000 ~~~~\n", "A good line with some other words.\n")
+    ids = list(range(60))
+    docs = spark.createDataFrame([(i, head + ends[i % 2] * 300) for i in ids], "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    got = quality.quality_scores(docs, known).collect()
+    assert set(seen[0]) == {401}
+    assert all(r.predicted == r.doc_id % 2 for r in got)
+
+
+def test_a_line_budget_takes_fewer_whole_documents(spark, monkeypatch):
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda chains, labels: seen.append([len(c) for c in chains]) or fit(chains, labels))
+    monkeypatch.setattr(quality, "SAMPLE_LINES", 100)
+    docs = spark.createDataFrame([(i, "x\n" * (200 if i % 10 == 0 else 9)) for i in range(60)], "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    quality.quality_scores(docs, known).collect()
+    assert seen[0] == [10] * 10
+    assert quality.last_spot([(3, 50), (-1, 40), (2, 10), (5, 1)]) == 3 and quality.last_spot([]) is None
+
+
+def test_fit_climbs_the_likelihood_of_all_labellings(monkeypatch):
+    """One step of fit follows the gradient of the likelihood, summed over all labellings."""
+    rng = np.random.default_rng(4)
+    labels = [1, 0, 1, 0]
+    chains = [rng.normal(size=(n, 3 * quality.N_OWN)) for n in (1, 3, 5, 2)]
+    monkeypatch.setattr(quality, "EPOCHS", 400)
+    monkeypatch.setattr(quality, "PENALTY", 0.05)
+    monkeypatch.setattr(quality, "LEARNING_RATE", 0.02)
+
+    def value(weights, links):
+        total = 0.0
+        for c, y in zip(chains, labels, strict=True):
+            scores = [
+                sum(o for o, v in zip(c @ weights, way, strict=True) if v) + sum(links[a, b] for a, b in zip(way, way[1:], strict=False))
+                for way in itertools.product((0, 1), repeat=len(c))
+            ]
+            total += (sum(c @ weights) if y else 0) + links[y, y] * (len(c) - 1) - np.logaddexp.reduce(scores)
+        return total / sum(map(len, chains)) - 0.025 * ((weights**2).sum() + (links**2).sum())
+
+    weights, links = quality.fit(chains, labels)
+    best = value(weights, links)
+    for _ in range(20):
+        d, e = rng.normal(size=weights.shape) * 0.05, rng.normal(size=links.shape) * 0.05
+        assert value(weights + d, links + e) < best
