@@ -13,7 +13,8 @@ that is broadcast has at most MAX_BITS / 8 bytes (32 MB). Beyond that many lines
 filter lets more single lines through to the exact step; results stay the same.
 
 Defined results: null or empty text is one empty line; rows with the same
-doc_id are one document (a key that only they hold is not repeated); rows with
+doc_id are one document (a key that only they hold is not repeated), but each
+gathers the dropped keys of its own text only; rows with
 a null doc_id take no part and keep their lines; a document that loses all its
 lines stays, with empty text. Extra columns pass through, except existing
 columns named n_lines or n_dropped, which are replaced.
@@ -26,7 +27,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airlake.llm.common import add_columns, materialize, slices, texts_of
@@ -144,32 +145,40 @@ def twice_filter(docs: DataFrame, bits: int) -> bytes:
 
 
 def suspected_repeats(docs: DataFrame, twice: bytes, bits: int) -> DataFrame:
-    """(doc_id, key) of every distinct key of a document that the filter holds."""
+    """(doc_id, row, key) of every distinct key of a row that the filter holds;
+    ``docs`` has doc_id, row and text."""
     shared = docs.sparkSession.sparkContext.broadcast(twice)
 
     def run(batches):
         held = np.frombuffer(shared.value, dtype=np.uint8)
         for part in slices(batches):
-            ids, keys = [], []
-            for i, t in zip(part.column("doc_id").to_pylist(), texts_of(part, "text"), strict=True):
+            at_row, keys = [], []
+            for i, t in enumerate(texts_of(part, "text")):
                 own = _document_keys(t)
-                ids += [i] * len(own)
+                at_row += [i] * len(own)
                 keys += own
             at = bit_positions(np.array([xxhash.xxh3_64_intdigest(k) for k in keys], dtype=np.uint64), bits)
             hit = np.flatnonzero((held[at >> 3] >> (7 - (at & 7)) & 1).all(axis=1))
+            own_rows = pa.array([at_row[h] for h in hit], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[h] for h in hit], part.column("doc_id").type), pa.array([keys[h].decode() for h in hit], pa.string())],
-                names=["doc_id", "key"],
+                [part.column("doc_id").take(own_rows), part.column("row").take(own_rows), pa.array([keys[h].decode() for h in hit], pa.string())],
+                names=["doc_id", "row", "key"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, key string")
+    return docs.select("doc_id", "row", "text").mapInArrow(run, f"doc_id {kind}, row string, key string")
+
+
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """128 bits of a hash of id and text: rows share it only if they lose the same lines."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (doc_id, text)]
+    return F.md5(F.concat(parts[0], F.lit(" "), parts[1]))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated lines dropped from ``text``, and n_lines (before)
     and n_dropped."""
-    known = docs.where("doc_id is not null").select("doc_id", "text")
+    known = docs.where("doc_id is not null").select("doc_id", row_key().alias("row"), "text")
     lines = known.agg(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1)).first()[0] or 0
     bits = min(MAX_BITS, max(MIN_BITS, 1 << (BITS_PER_LINE * lines).bit_length()))
     suspects = materialize(suspected_repeats(known, twice_filter(known, bits), bits), "line-suspects")
@@ -182,15 +191,17 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     # written first, so that the join's inputs are plain shuffles, which Spark
     # can split where one key has very many rows
     repeated = materialize(repeated, "lines-repeated")
+    # by row, not by id: a set is never larger than the lines of one text
     drops = (
         suspects.join(repeated, "key")
         .where("doc_id > first")
-        .groupBy("doc_id")
+        .groupBy("row")
         .agg(F.collect_set("key").alias("_drop"))
-        .withColumnRenamed("doc_id", "_doc")
+        .withColumnRenamed("row", "_row")
     )
     base = docs.drop("n_lines", "n_dropped")
-    joined = base.join(drops, base["doc_id"] == drops["_doc"], "left").drop("_doc")
+    keyed = base.withColumn("_row_key", F.when(F.col("doc_id").isNotNull(), row_key()))
+    joined = keyed.join(drops, keyed["_row_key"] == drops["_row"], "left").drop("_row", "_row_key")
 
     def make():
         def compute(part):

@@ -98,3 +98,21 @@ def test_sparse_and_dense_segments_come_back():
     for share in (0.001, 0.5):
         cells = (np.random.default_rng(2).random(line_dedup.SEGMENT_BITS) < share).astype(np.uint8)
         assert (line_dedup._unpacked(line_dedup._packed(cells)) == cells.astype(bool)).all()
+
+
+def test_rows_of_one_id_gather_their_own_keys_only(spark, monkeypatch):
+    """An id with many texts: no row is handed more keys than its text has."""
+    most = spark.sparkContext.accumulator(0)
+    add_columns = line_dedup.add_columns
+
+    def watched(df, fields, make):
+        sizes = [len(r[0]) for r in df.where("_drop is not null").select("_drop").collect()]
+        most.add(max(sizes))
+        return add_columns(df, fields, make)
+
+    monkeypatch.setattr(line_dedup, "add_columns", watched)
+    rows = [(1, "\n".join(f"a shared line, number {i}" for i in range(80)))]
+    rows += [(7, f"a shared line, number {i}\nkept line of text {i}") for i in range(80)] + [(8, "a shared line, number 3")]
+    done = line_dedup.dedup_lines(frame(spark, rows).repartition(5))
+    got = sorted(map(tuple, done.select("doc_id", "n_lines", "n_dropped", "text").collect()), key=str)
+    assert got == sorted(brute(rows), key=str) and most.value == 1
