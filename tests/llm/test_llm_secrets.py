@@ -101,3 +101,21 @@ def test_empty_table_and_plan_without_python(spark):
 def test_a_long_run_costs_its_length_once(name, chars, least):
     pattern = secrets.candidate_pattern(chars)
     assert pattern.startswith("(?<!") and pattern.endswith("}+")
+
+
+HIDDEN = "Zk3vQ9xLr7TbN2mWp8HsYd4F"
+CAUGHT = [
+    ("QzKvWxLrTbNmPpHsYdFgJcRtUeAoMiBn", "entropy_token:0:32"),  # no digit
+    (f"com/up/2024/05/06/{HIDDEN}", "entropy_token:17:42"),
+    (f"sample_{HIDDEN}", "entropy_token:6:31"),
+    (f"{HIDDEN}/2024-05-06sample/{HIDDEN}", "entropy_token:0:25,entropy_token:41:66"),
+    (f"üü 🙂 {HIDDEN}-xxxx-12345678-{HIDDEN}", "entropy_token:5:30,entropy_token:43:68"),
+    ("sampleZk3vQ9xLr7TbN2mWp8HsYd4F", ""),  # the placeholder is in the part itself
+    ("some/plain/words/in/a/path_without_digits", ""),
+]
+
+
+def test_one_word_or_date_does_not_hide_the_rest_of_a_run(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CAUGHT)], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.secret_digest(docs).collect()}
+    assert [got[i] for i in range(len(CAUGHT))] == [w for _, w in CAUGHT]
