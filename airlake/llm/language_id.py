@@ -6,8 +6,9 @@ added up over all training rows: a task adds its rows into one count vector per
 language, and the vectors are summed in segments, so no task holds a language's
 whole counts. The matrix of log probabilities has ``buckets x languages`` values;
 buckets are halved until it is within ``MAX_MATRIX_BYTES``, and it is broadcast.
-A batch is scored as a sparse product: rows of the matrix at the hashes of the
-batch's n-grams, summed by document.
+A batch is scored text by text: the rows of the matrix at the hashes of a text's
+n-grams are gathered, a block of n-grams at a time, and summed. This is the
+method's sparse product without building the sparse matrix of the batch.
 
 Defined results: null text or text without letters is ``und`` with score 0, and
 so is every text if no row can be learned from. Rows with null lang, null
