@@ -88,14 +88,16 @@ def preview_stream(
     query_name: str,
     checkpoint: str | None = None,
     trigger: str | dict = "availableNow",
-    rows: int = 1000,
+    rows: int | None = 1000,
 ) -> StreamingQuery:
     """Named preview of a stream, queryable as ``spark.table(query_name)`` (K3,
-    T-8, S7): its first ``rows`` rows as found by the reader.
+    T-8, S7): its first ``rows`` rows as found by the reader, all of them with
+    ``rows=None``.
 
     What the source holds now goes to files under the shared scratch folder, never to the
     driver; the view reads them back with LIMIT, so what reaches the driver is
-    bounded by ``rows`` however long the stream is. Returns after that; with a
+    bounded by ``rows`` however long the stream is; without ``rows`` there is no
+    LIMIT, whose rows all pass through one task. Returns after that; with a
     trigger other than ``availableNow`` the query goes on until stopped."""
     spark = df.sparkSession
     path = scratch_path(spark, f"preview-{query_name}")
@@ -105,7 +107,8 @@ def preview_stream(
         query.awaitTermination()
     else:
         query.processAllAvailable()
-    spark.read.schema(df.schema).parquet(path).limit(rows).createOrReplaceTempView(query_name)
+    found = spark.read.schema(df.schema).parquet(path)
+    (found if rows is None else found.limit(rows)).createOrReplaceTempView(query_name)
     return query
 
 

@@ -118,3 +118,12 @@ def test_incremental_stream_matches_full_recompute_after_each_file(spark, tmp_di
         assert ranking.select(*g.columns).exceptAll(g).count() == 0
         landed = spark.read.parquet(os.path.join(root, "bronze")).drop("batch_id")
         assert landed.count() == parse_events(fixtures.aqi_json(events.where(f"event_id < {hi}"))).count()
+
+
+def test_a_preview_of_the_whole_stream_has_no_limit(spark):
+    from airlake.plans.registry import q_stream_preview
+
+    shown = q_stream_preview(spark, "/root/testdata/sf0.001")
+    plan = shown._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan and "SinglePartition" not in plan
+    assert shown.count() == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
