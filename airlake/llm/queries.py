@@ -7,15 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from airlake.llm import (
+    chat,
     fingerprints,
     knn,
     language_id,
     line_dedup,
     mixing,
+    phrases,
     quality,
     secrets,
     sentencepiece_codec,
     simhash,
+    variants,
     warc,
 )
 from airlake.llm.common import table
@@ -72,6 +75,18 @@ def q_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def q_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf, "documents"))
+
+
+def q_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf, "documents"))
+
+
+def q_chat(spark: SparkSession, sf: str) -> DataFrame:
+    return chat.conversation_digest(table(spark, sf, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": q_sentencepiece,
@@ -84,6 +99,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": q_quality,
         "op9_topk": q_topk,
         "op10_simhash": q_simhash,
+        "op11_phrases": q_phrases,
+        "op12_variants": q_variants,
+        "op13_chat": q_chat,
     }
 
 
@@ -93,4 +111,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_line_dedup": line_dedup.LINE_DIGEST_SQL,
         "op4_warc": warc.ARCHIVE_DIGEST_SQL,
         "op9_topk": knn.NEAREST_SQL,
+        "op11_phrases": phrases.COLLOCATIONS_SQL,
+        "op13_chat": chat.CONVERSATION_DIGEST_SQL,
     }
