@@ -27,6 +27,7 @@ from airlake.operators.ranking import rank_within
 from airlake.schemas import EXPECTED_READINGS_PER_DAY, MEASURES
 from airlake.session import ensure_checkpoint_dir
 
+EXACT_SCALES = dict.fromkeys(MEASURES)
 LOCAL_SCALES = {"european_aqi": 2, "pm10": 2, "pm2_5": 2, "nitrogen_dioxide": 2}
 CLOUD_SCALES = {"european_aqi": 2, "pm10": 2, "pm2_5": 0, "nitrogen_dioxide": 0}
 
@@ -66,7 +67,8 @@ def daily_city_aqi(
 ) -> DataFrame:
     """Per (city, date): rounded average and maximum of each measure (A1, A2).
 
-    ``scales`` maps a measure to the decimals of its rounded average (HALF_UP).
+    ``scales`` maps a measure to the decimals of its rounded average (HALF_UP);
+    None leaves the average as it is.
     ``with_count`` adds ``record_count``. ``sort`` orders the result by the
     keys (a range shuffle; do it at the sink, not before further work).
     """
@@ -75,7 +77,8 @@ def daily_city_aqi(
         df = with_measurement_date(df)
     aggs = []
     for m in MEASURES:
-        aggs.append(F.round(F.avg(m), scales[m]).alias(f"avg_{m}"))
+        average = F.avg(m) if scales[m] is None else F.round(F.avg(m), scales[m])
+        aggs.append(average.alias(f"avg_{m}"))
         aggs.append(F.max(m).alias(f"max_{m}"))
     if with_count:
         aggs.append(F.count(F.lit(1)).alias("record_count"))
@@ -93,7 +96,8 @@ def rank_daily(
 ) -> DataFrame:
     """Rank daily rows by the (rounded) average AQI, highest first.
 
-    Ties come from rounding and are kept as ties."""
+    Ties come from rounding and are kept as ties. Unrounded averages
+    (``EXACT_SCALES``) of many cities need ``strategy="ranges"``."""
     return rank_within(daily, partition_by, order_col, method=method, alias=alias, strategy=strategy)
 
 

@@ -3,11 +3,12 @@
 Responses arrive as JSON text, one row per (city, fetch). The text is parsed
 once, to an untyped VARIANT: a typed parse turns "absent", "null" and "wrong
 type" into the same NULL, and would drop a whole array for one bad element.
+VARIANT refuses two things that common parsers take: the bare numbers ``NaN``,
+``Infinity`` and ``-Infinity``, and repeated keys, of which the last one counts. Only
+rows it refuses are parsed again, to a map of VARIANT fields that takes both.
 Rules, first failure wins:
 
-1. ``malformed_json``        the text is not JSON that VARIANT accepts. Bare ``NaN`` and
-                             repeated keys count as malformed here, although lenient
-                             parsers take them
+1. ``malformed_json``        the text is not JSON, even so
 2. ``missing_hourly``        ``hourly`` is not an object (or there is no text)
 3. ``missing_fields``        a required field is absent (present-but-null is *not* missing)
 4. ``non_array_fields``      a required field is not an array (null, string, number...)
@@ -38,18 +39,46 @@ def _joined_names(conds: dict[str, Column]) -> Column:
     return F.concat_ws(",", *[F.when(c, F.lit(n)) for n, c in conds.items()])
 
 
-def _parsed_once(df: DataFrame, json_col: str) -> DataFrame:
-    """Add ``_doc`` (the parsed text) and ``_h`` (its ``hourly``) behind Generate
-    nodes, so later filters cannot be rewritten into repeated parses."""
-    staged = df.select("*", F.inline(F.array(F.struct(F.try_parse_json(F.col(json_col)).alias("_doc")))))
-    hourly = F.try_variant_get(F.col("_doc"), "$.hourly", "variant")
-    return staged.select("*", F.inline(F.array(F.struct(hourly.alias("_h")))))
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns behind a Generate node, so later filters cannot be rewritten
+    into repeated evaluations of them."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
 
+_CORRUPT = {"columnNameOfCorruptRecord": "_corrupt"}
 
-def _verdict(json_col: str) -> tuple[Column, Column]:
-    """(reject_reason, reject_fields) of a row with ``_doc`` and ``_h``."""
+
+def _parsed_once(df: DataFrame, json_col: str) -> DataFrame:
+    """Add ``_h`` (the text's ``hourly``, a VARIANT) and ``_malformed``."""
+    text = F.col(json_col)
+    staged = _once(df, _doc=F.try_parse_json(text))
+    refused = text.isNotNull() & F.col("_doc").isNull()
+    # entries of hourly, repeated ones too; the second parse tells "no object" from "no JSON"
+    entries = F.from_json(text, "hourly map<string,variant>, _corrupt string", _CORRUPT)
+    whole = F.from_json(text, "hourly variant, _corrupt string", _CORRUPT)
+    staged = _once(staged, _again=F.when(refused, entries))
+    no_map = F.col("_again._corrupt").isNotNull()
+    malformed = refused & no_map & F.when(no_map, whole["_corrupt"].isNotNull())
+    strict = F.try_variant_get(F.col("_doc"), "$.hourly", "variant")
+    found = F.coalesce(strict, F.when(refused, _last_of_each(F.col("_again.hourly"))))
+    return _once(staged, _h=found, _malformed=F.coalesce(malformed, F.lit(False)))
+
+
+def _last_of_each(entries: Column) -> Column:
+    """The required fields of a map that may repeat keys, as a VARIANT object."""
+    names = F.filter(F.array(*[F.lit(f) for f in REQUIRED_HOURLY_FIELDS]), lambda f: F.array_contains(F.map_keys(entries), f))
+
+    def last(name: Column) -> Column:
+        own = F.filter(F.map_entries(entries), lambda e: e["key"] == name)
+        return F.struct(name.alias("key"), F.element_at(own, -1)["value"].alias("value"))
+
+    fields = F.map_from_entries(F.transform(names, last))
+    return F.when(entries.isNotNull(), F.to_variant_object(fields))
+
+
+def _verdict() -> tuple[Column, Column]:
+    """(reject_reason, reject_fields) of a row with ``_h`` and ``_malformed``."""
     hourly = F.col("_h")
-    malformed = F.col(json_col).isNotNull() & F.col("_doc").isNull()
     is_object = F.coalesce(F.try_variant_get(hourly, "$", "map<string,variant>").isNotNull(), F.lit(False))
     missing = {f: _field(hourly, f, "variant").isNull() for f in REQUIRED_HOURLY_FIELDS}
     non_array = {f: _field(hourly, f, "array<variant>").isNull() for f in REQUIRED_HOURLY_FIELDS}
@@ -58,7 +87,7 @@ def _verdict(json_col: str) -> tuple[Column, Column]:
     any_non_array = F.greatest(*non_array.values())
     unequal = F.greatest(*sizes) != F.least(*sizes)
     reason = (
-        F.when(malformed, F.lit("malformed_json"))
+        F.when(F.col("_malformed"), F.lit("malformed_json"))
         .when(~is_object, F.lit("missing_hourly"))
         .when(any_missing, F.lit("missing_fields"))
         .when(any_non_array, F.lit("non_array_fields"))
@@ -85,7 +114,7 @@ def validate_responses(
 ) -> DataFrame:
     """Add ``reject_reason`` (NULL = valid) and ``reject_fields`` (the offending
     fields for rules 3 and 4) (I3a-I3e). ``cities`` adds rule 7."""
-    reason, fields = _verdict(json_col)
+    reason, fields = _verdict()
     staged = _parsed_once(df, json_col)
     if cities is not None:
         staged = _with_cities(staged, cities, city_key)
@@ -96,7 +125,8 @@ def validate_responses(
 def _element(field: str, value: Column) -> Column:
     """One array element as the event's type. An element of another JSON type
     is NULL for its hour only, the way Bronze reads a mistyped field: a number
-    with a fraction or a quoted number is no integer."""
+    with a fraction or a quoted number is no integer. NaN and the infinities are
+    numbers, so a measure keeps them."""
     kind = F.schema_of_variant(value)
     if field == "time":
         return F.try_variant_get(value, "$", "string")
@@ -122,7 +152,7 @@ def flatten_hourly(
     If ``ingestion_col`` is absent, the ingestion time is the query's
     ``current_timestamp()`` in UTC.
     """
-    reason, _ = _verdict(json_col)
+    reason, _ = _verdict()
     ingestion = (
         F.col(ingestion_col)
         if ingestion_col in responses.columns

@@ -24,6 +24,12 @@ def ensure_schema(spark: SparkSession, schema: str, use: bool = True) -> None:
         spark.sql(f"USE {schema}")
 
 
+def drop_schema(spark: SparkSession, schema: str) -> None:
+    """Forget a schema and its registrations; files of external tables stay, and
+    so does what was already resolved from them."""
+    spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
+
+
 def list_schemas(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW SCHEMAS")
 

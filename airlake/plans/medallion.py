@@ -9,7 +9,7 @@ shared checkpoint folder, and the four tables are derived from it.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airlake.operators.bronze import parse_events
@@ -121,12 +121,12 @@ def run_all(
 _DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 
 
-def _read_or_none(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+def _read_or_none(spark: SparkSession, path: str, fmt: str, schema=None) -> DataFrame | None:
     """The table, or None if the path does not exist. Any other failure to read
     it (an emptied folder, a broken file) is raised: taking it for a first run
     would replace what the table held."""
     try:
-        return read_table(spark, path, fmt)
+        return read_table(spark, path, fmt, schema)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "DELTA_PATH_DOES_NOT_EXIST"):
             return None
@@ -143,17 +143,49 @@ class SlotTable:
         self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
 
     def version(self) -> int:
-        names = _read_or_none(self.spark, f"{self.root}/versions", "json")
+        # with a schema: a folder that a first, cut-off append left empty names no version
+        names = _read_or_none(self.spark, f"{self.root}/versions", "json", "version long")
         return 0 if names is None else names.agg(F.max("version")).first()[0] or 0
 
-    def read(self) -> DataFrame | None:
-        now = self.version()
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """The current version, or an earlier one whose slot was not written since."""
+        now = self.version() if version is None else version
         return read_table(self.spark, f"{self.root}/slot-{now % 2}", self.fmt) if now else None
 
-    def write(self, df: DataFrame) -> None:
+    def write(self, df: DataFrame) -> int:
         new = self.version() + 1
         write_table(df, f"{self.root}/slot-{new % 2}", self.fmt)
-        self.spark.range(1).select(F.lit(new).alias("version")).write.mode("append").json(f"{self.root}/versions")
+        self._name(new)
+        return new
+
+    def _name(self, version: int) -> None:
+        row = self.spark.range(1).select(F.lit(version).alias("version"))
+        row.write.mode("append").json(f"{self.root}/versions")
+
+
+class DateJournal:
+    """Dates on which Silver changes, from before it does until Gold has followed.
+
+    An entry also names the staged version that holds the new Silver partitions,
+    until they are known to be in place. At most one row per calendar day, so
+    the entry is read on the driver."""
+
+    SCHEMA = "measurement_date date, staged long"
+
+    def __init__(self, spark: SparkSession, silver_path: str, fmt: str = "parquet"):
+        base = silver_path.rstrip("/")
+        self.spark = spark
+        self.entries = SlotTable(spark, f"{base}_journal", fmt)
+        self.staged = SlotTable(spark, f"{base}_staged", fmt)
+
+    def unfinished(self) -> tuple[list, int | None]:
+        """(dates, staged version) of the open entry; no dates if there is none."""
+        table = self.entries.read()
+        rows = [] if table is None else table.collect()
+        return sorted(r.measurement_date for r in rows), rows[0].staged if rows else None
+
+    def write(self, dates, staged: int | None = None) -> None:
+        self.entries.write(self.spark.createDataFrame([(d, staged) for d in sorted(dates)], self.SCHEMA))
 
 
 def run_silver_incremental(
@@ -170,17 +202,28 @@ def run_silver_incremental(
 
     Readings of the batch and of the pending table (``pending_path``, by default
     next to Silver) that are valid at ``as_of`` are merged; those that are only
-    too early stay pending. Silver is written before the pending table: a run
-    interrupted in between merges the same readings again, which changes nothing.
+    too early stay pending.
+
+    A run may stop anywhere and be repeated. The merged partitions are staged,
+    then the touched dates are entered in the :class:`DateJournal` next to Silver, then Silver
+    and, after it, the pending table are written. The next run first puts the
+    staged partitions of an open entry in place again (an overwrite may have
+    stopped half way), and the dates stay in the journal until
+    :func:`run_gold_incremental` has brought Gold up to date.
 
     Only the dates with merged readings are read, merged latest-wins and
     overwritten (dynamic partition overwrite). The touched dates are the one
     thing brought to the driver: none is later than ``as_of``, so a list bounded by
     calendar days, used as a static partition filter so the scan lists
     and reads only those date folders. The judged batch is checkpointed
-    (read several times, computed once), and so is the merge, so the overwrite
-    never reads the files it replaces. Returns the touched dates."""
+    (read several times, computed once), and the merge is staged, so the overwrite
+    never reads the files it replaces. Returns the dates this run touched."""
     ensure_checkpoint_dir(spark)
+    journal = DateJournal(spark, silver_path, fmt)
+    unfinished, staged = journal.unfinished()
+    if staged is not None:
+        _put_in_place(journal, staged, silver_path, fmt)
+        journal.write(unfinished)  # the staged version may be replaced from here on
     new = read_table(spark, new_bronze, fmt) if isinstance(new_bronze, str) else new_bronze
     pending = SlotTable(spark, pending_path or f"{silver_path.rstrip('/')}_pending", fmt)
     waiting = pending.read()
@@ -202,12 +245,19 @@ def run_silver_incremental(
                 "or run_silver(partition_by=['measurement_date'])"
             )
         merging = fresh if old is None else old.where(F.col("measurement_date").isin(dates)).unionByName(fresh)
-        merged = latest_readings(merging, tie_break=tie_break).checkpoint(eager=True)
-        write_table(merged, silver_path, fmt, partition_by=["measurement_date"], options=_DYNAMIC)
+        staged = journal.staged.write(latest_readings(merging, tie_break=tie_break))
+        journal.write({*dates, *unfinished}, staged)
+        _put_in_place(journal, staged, silver_path, fmt)
     pending.write(early)
     return dates
 
 
+def _put_in_place(journal: DateJournal, staged: int, silver_path: str, fmt: str) -> None:
+    """Overwrite the date partitions of Silver that a staged version holds."""
+    rows = journal.staged.read(staged)
+    write_table(rows, silver_path, fmt, partition_by=["measurement_date"], options=_DYNAMIC)
+
+
 def run_gold_incremental(
     spark: SparkSession,
     silver_path: str,
@@ -215,9 +265,12 @@ def run_gold_incremental(
     root: str,
     variant: str = "local",
     fmt: str = "parquet",
+    ranking_buckets: int | None = None,
 ) -> dict[str, str]:
     """Bring ``root/rollup`` and the four Gold tables under ``root/gold`` up to
-    date after Silver changed on ``dates``.
+    date after Silver changed on ``dates``, and on those that the journal next to
+    Silver still holds from runs that stopped before their Gold was written.
+    The journal is closed at the end.
 
     - rollup: the (city, date) rows of ``dates`` are recomputed from those
       Silver partitions and overwritten (tables are partitioned by date);
@@ -229,8 +282,10 @@ def run_gold_incremental(
       :class:`SlotTable` under ``root/state``; without one it is rebuilt from the whole
       rollup. The published table is an overwrite from the state, so an
       interrupted overwrite is repaired by the next run;
-    - the cloud ranking ranks the days of a city, so it is rebuilt from the
-      whole rollup (one row per city and day).
+    - the cloud ranking ranks the days of a city. Without ``ranking_buckets`` it is rebuilt from the
+      whole rollup (one row per city and day). With it the table is partitioned by
+      ``city_bucket``, a hash of the city, and only buckets with a city of ``dates``
+      are ranked again and overwritten; a table that is not partitioned so is rebuilt once.
     """
     base = root.rstrip("/")
     p = VARIANTS[variant]
@@ -238,6 +293,8 @@ def run_gold_incremental(
     paths = {"rollup": f"{base}/rollup"}
     names = ("daily_city_aqi", "daily_city_ranking", "data_freshness", "data_completeness")
     paths.update({name: f"{gold}/{name}" for name in names})
+    journal = DateJournal(spark, silver_path, fmt)
+    dates = sorted({*dates, *journal.unfinished()[0]})
     if not dates:
         return paths
     in_dates = F.col("measurement_date").isin(dates)
@@ -247,6 +304,8 @@ def run_gold_incremental(
     per_date = ["daily_city_aqi", "data_completeness"]
     if p["rank_partition"] == "measurement_date":
         per_date.append("daily_city_ranking")
+    elif ranking_buckets:
+        _rank_touched_buckets(spark, paths, in_dates, variant, fmt, ranking_buckets)
     else:
         whole = gold_from_rollup(read_table(spark, paths["rollup"], fmt), variant)
         write_table(whole["daily_city_ranking"], paths["daily_city_ranking"], fmt)
@@ -262,9 +321,31 @@ def run_gold_incremental(
         fresh = fresh.groupBy("city").agg(*[F.max(c).alias(c) for c in fresh.columns if c != "city"])
     state.write(fresh)
     write_table(state.read(), paths["data_freshness"], fmt)
+    journal.write([])
     return paths
 
 
+def _rank_touched_buckets(
+    spark: SparkSession, paths: dict[str, str], in_dates: Column, variant: str, fmt: str, buckets: int
+) -> None:
+    """Rank the days of all cities that share a bucket with a city of the touched
+    dates, and overwrite those buckets of the ranking table. The touched buckets,
+    at most ``buckets``, come to the driver and filter the rollup."""
+    bucket = F.pmod(F.xxhash64("city"), F.lit(buckets)).cast("int")
+    rollup = read_table(spark, paths["rollup"], fmt).withColumn("city_bucket", bucket)
+    known = _read_or_none(spark, paths["daily_city_ranking"], fmt)
+    options = _DYNAMIC
+    if known is None or "city_bucket" not in known.columns:
+        options = None
+    else:
+        touched = [r[0] for r in rollup.where(in_dates).select("city_bucket").distinct().collect()]
+        rollup = rollup.where(F.col("city_bucket").isin(touched))
+    ranked = gold_from_rollup(rollup.drop("city_bucket"), variant)["daily_city_ranking"]
+    write_table(
+        ranked.withColumn("city_bucket", bucket), paths["daily_city_ranking"], fmt, partition_by=["city_bucket"], options=options
+    )
+
+
 def run_incremental(
     spark: SparkSession,
     new_bronze,
@@ -273,13 +354,15 @@ def run_incremental(
     fmt: str = "parquet",
     as_of=None,
     tie_break=(),
+    ranking_buckets: int | None = None,
 ) -> dict[str, str]:
     """One incremental run: a batch of structured Bronze -> ``root/silver``
     (date-partitioned, merged) -> ``root/rollup`` -> ``root/gold/*``. The
     first run on an empty ``root`` builds everything from the batch. Can be
-    called from ``foreachBatch`` of the Bronze stream."""
+    called from ``foreachBatch`` of the Bronze stream. A run that stopped
+    anywhere is made good by the next one (tested after each write)."""
     base = root.rstrip("/")
     dates = run_silver_incremental(spark, new_bronze, f"{base}/silver", fmt, as_of, tie_break)
     paths = {"silver": f"{base}/silver"}
-    paths.update(run_gold_incremental(spark, paths["silver"], dates, base, variant, fmt))
+    paths.update(run_gold_incremental(spark, paths["silver"], dates, base, variant, fmt, ranking_buckets))
     return paths

@@ -217,6 +217,15 @@ def oracle_sql() -> dict[str, str]:
         ref, "SELECT city, max(ingestion_timestamp_utc) AS latest_ingestion_timestamp_utc FROM dated GROUP BY city"
     )
     q["data_freshness_incremental"] = q["data_freshness"]
+    q["gold_incremental_recovery"] = _with(
+        ref,
+        "SELECT c.*, r.avg_european_aqi, r.aqi_rank, f.latest_ingestion_timestamp_utc FROM completeness c"
+        " JOIN (SELECT *, CAST(dense_rank() OVER (PARTITION BY measurement_date ORDER BY avg_european_aqi DESC NULLS LAST)"
+        " AS INTEGER) AS aqi_rank FROM daily_local) r ON r.city = c.city AND r.measurement_date = c.measurement_date"
+        " JOIN freshness_cloud f ON f.city = c.city",
+        d,
+    )
+    q["daily_city_ranking_cloud_incremental"] = q["daily_city_ranking_cloud"]
     q["data_freshness_cloud"] = _with(ref, "SELECT * FROM freshness_cloud", d)
     q["data_completeness"] = _with(ref, "SELECT * FROM completeness", d)
     q["report_daily_aqi"] = _with(ref, "SELECT * FROM daily_cloud ORDER BY measurement_date, city", d)
@@ -234,6 +243,8 @@ def oracle_sql() -> dict[str, str]:
     )
     q["bronze_stream"] = q["parse_events"]
     q["bronze_stream_resume"] = q["parse_events"]
+    q["bronze_stream_default_trigger"] = _with(ref, f"SELECT {EVENT_COLS}, 3::BIGINT AS n_batches FROM parsed")
+    q["flag_readings_now"] = q["flag_readings"]
     # the JSON text that DuckDB would write differs in number format: compare what it says
     q["stream_preview"] = _with(
         ref,
@@ -250,6 +261,11 @@ def oracle_sql() -> dict[str, str]:
         "SELECT measurement_date, city, avg_european_aqi, rank, 4::BIGINT AS n_tables FROM ranking_cloud WHERE rank = 1",
         d,
     )
+    q["catalog_switch"] = _with(
+        ref,
+        "SELECT measurement_date, city, avg_european_aqi, rank, 'spark_catalog' AS catalog FROM ranking_cloud WHERE rank = 1",
+        d,
+    )
     names = EVENT_COLS.replace(" ", "")
     q["json_sample"] = _with(ref, f"SELECT '{names}' AS fields, count(*) AS n_rows FROM parsed")
     q["file_inventory"] = "SELECT 'events.parquet' AS file_name, count(*) AS n_rows FROM events"
@@ -275,7 +291,23 @@ FROM hourly h
 JOIN resp r ON r.city_id = h.city_id AND r.response_date = CAST(h.hour AS DATE)
 JOIN cities c ON c.city_id = h.city_id
 WHERE NOT (r.k % 23 = 0 OR r.k % 19 = 0 OR r.k % 17 = 0 OR r.k % 13 = 0 OR r.k % 11 = 0)"""
+    q["validate_responses_lenient"] = q["validate_responses"]
+    first = "h.city_id % 2 = 1 AND h.hour = r.first_hour"
+    q["flatten_hourly_lenient"] = q["flatten_hourly"].replace(
+        "floor(h.value * 4) / 4 AS pm10,",
+        f"CASE WHEN {first} THEN NULL ELSE floor(h.value * 4) / 4 END AS pm10, {first} AS pm10_is_nan,",
+    )
+    q["ingestion_stamp"] = (
+        "SELECT city_id, count(*) AS n_rows, true AS in_bracket, 1::BIGINT AS n_stamps "
+        f"FROM ({q['flatten_hourly']}) GROUP BY city_id"
+    )
     pu = "per_user"
+    exact = "OVER (PARTITION BY measurement_date ORDER BY avg_european_aqi DESC NULLS LAST) AS INTEGER)"
+    q["daily_city_ranking_exact_values"] = _with(
+        pu,
+        f"SELECT *, CAST(dense_rank() {exact} AS aqi_rank, CAST(rank() {exact} AS row_rank FROM "
+        "(SELECT city, measurement_date, avg(european_aqi) AS avg_european_aqi FROM dated GROUP BY city, measurement_date)",
+    )
     q["latest_readings_per_user"] = _with(pu, f"SELECT {EVENT_COLS}, {FLAG_COLS} FROM silver")
     q["daily_city_ranking_per_user"] = _with(
         pu,

@@ -10,6 +10,7 @@ time zone. The DuckDB restatement of each query is in
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -23,7 +24,7 @@ from airlake.plans.medallion import run_batch, run_incremental, run_silver_incre
 from airlake.plans.reports import run_report
 from airlake.schemas import EVENT_SCHEMA, MEASURES
 from airlake.session import scratch_path
-from airlake.sinks.writers import counted, file_inventory, preview_stream, to_kafka_value, write_json, write_table
+from airlake.sinks.writers import counted, drain, file_inventory, preview_stream, to_kafka_value, write_json, write_table
 from airlake.sources import fixtures
 from airlake.sources.tables import city_dimension
 from airlake.streaming.bronze_stream import bronze_stream, file_value_stream, start_bronze_stream
@@ -149,6 +150,33 @@ def q_data_freshness_incremental(spark, sf):
     return present(spark.read.parquet(paths["data_freshness"]))
 
 
+def q_gold_incremental_recovery(spark, sf):
+    """Gold after a run that stopped between Silver and Gold and was repeated.
+
+    The first batch has the readings of even days, most of them in the future when
+    they arrive; the second one those of odd days. The run that stops merges
+    what has become valid on even days, so its repetition no longer finds these dates
+    in the batch or the pending table: only the journal knows them."""
+    root, rows = scratch_path(spark, "gold-recovery"), _bronze(spark, sf)
+    day = F.expr("try_cast(substring(measurement_timestamp, 9, 2) AS int)")
+    odd = F.coalesce(day % 2 == 1, F.lit(False))
+    run_incremental(spark, rows.where(~odd), root, "local", as_of=fixtures.EARLY_AS_OF, tie_break=MEASURES)
+    run_silver_incremental(spark, rows.where(odd), f"{root}/silver", as_of=AS_OF, tie_break=MEASURES)
+    paths = run_incremental(spark, rows.where(odd), root, "local", as_of=AS_OF, tie_break=MEASURES)
+    tables = {k: spark.read.parquet(p) for k, p in paths.items()}
+    ranks = tables["daily_city_ranking"].select("city", "measurement_date", "avg_european_aqi", "aqi_rank")
+    found = tables["data_completeness"].join(ranks, ["city", "measurement_date"], "full")
+    return present(found.join(tables["data_freshness"], "city", "full"))
+
+
+def q_daily_city_ranking_cloud_incremental(spark, sf):
+    """Days ranked within a city after two incremental runs into a bucketed table."""
+    root = scratch_path(spark, "ranking-incremental")
+    for batch in _halves(spark, sf):
+        paths = run_incremental(spark, batch, root, "cloud", as_of=AS_OF, tie_break=MEASURES, ranking_buckets=16)
+    return spark.read.parquet(paths["daily_city_ranking"]).drop("city_bucket")
+
+
 def q_stage_counts(spark, sf):
     return silver.stage_counts(_bronze(spark, sf), as_of=AS_OF)
 
@@ -174,6 +202,15 @@ def q_daily_city_ranking_per_user(spark, sf):
     return gold.gold_tables(_silver(spark, sf, "per_user"), "local")["daily_city_ranking"]
 
 
+def q_daily_city_ranking_exact_values(spark, sf):
+    """Per-user cities ranked by unrounded averages: nearly every city of a day
+    has a value of its own."""
+    daily = gold.daily_city_aqi(_silver(spark, sf, "per_user"), gold.EXACT_SCALES)
+    ranked = gold.rank_daily(daily.select("city", "measurement_date", "avg_european_aqi"), strategy="ranges")
+    by_row = gold.rank_daily(ranked, method="rank", alias="row_rank", strategy="ranges")
+    return by_row.select("city", "measurement_date", "avg_european_aqi", "aqi_rank", "row_rank")
+
+
 def q_daily_city_ranking_cloud(spark, sf):
     return _cloud_ranking(spark, sf)
 
@@ -235,6 +272,27 @@ def q_flatten_hourly_per_user(spark, sf):
     return ingest.flatten_hourly(resp, fixtures.per_user_cities(ev))
 
 
+def _lenient_responses(spark, sf) -> DataFrame:
+    """The responses as lenient writers put them: in cities with an odd id the
+    first PM10 is a bare NaN, in the others the key of PM2.5 is there twice."""
+    odd = F.col("city_id") % 2 == 1
+    with_nan = F.regexp_replace("response_json", r'("pm10":\[)[^,\]]+', "$1NaN")
+    repeated = F.regexp_replace("response_json", '"pm2_5":', '"pm2_5":"first","pm2_5":')
+    responses = fixtures.hourly_responses(_events(spark, sf))
+    return responses.withColumn("response_json", F.when(odd, with_nan).otherwise(repeated))
+
+
+def q_validate_responses_lenient(spark, sf):
+    checked = ingest.validate_responses(_lenient_responses(spark, sf))
+    return checked.select("city_id", "response_date", "reject_reason", "reject_fields")
+
+
+def q_flatten_hourly_lenient(spark, sf):
+    rows = ingest.flatten_hourly(_lenient_responses(spark, sf), city_dimension(spark))
+    nan = F.coalesce(F.isnan("pm10"), F.lit(False))
+    return rows.withColumn("pm10_is_nan", nan).withColumn("pm10", F.when(~nan, F.col("pm10")))
+
+
 def q_event_json_roundtrip(spark, sf):
     rows = fixtures.aqi_rows(_events(spark, sf))
     records = to_kafka_value(rows.drop("event_id"))
@@ -269,6 +327,16 @@ def q_bronze_stream_resume(spark, sf):
     return spark.read.parquet(out)
 
 
+def q_bronze_stream_default_trigger(spark, sf):
+    """Six files drained two at a time with the default trigger, until the query's
+    own progress shows nothing left."""
+    src, out, ckpt = (scratch_path(spark, f"bronze-default-{n}") for n in ("src", "out", "ckpt"))
+    write_table(fixtures.aqi_kafka_records(_events(spark, sf)).select("value").repartition(6), src)
+    stream = file_value_stream(spark, src, max_files=2)
+    batches = drain(start_bronze_stream(stream, out, ckpt, form="direct", trigger=None))
+    return spark.read.parquet(out).withColumn("n_batches", F.lit(len(batches)).cast("long"))
+
+
 def q_stream_preview(spark, sf):
     """Rows that a preview of the whole stream shows, by name."""
     src = scratch_path(spark, "preview-src")
@@ -297,9 +365,65 @@ def q_catalog_reports(spark, sf):
     catalog.register_tables(spark, schema, {k: v for k, v in paths.items() if k != "silver"})
     listed = catalog.list_tables(spark, schema).count()
     worst = run_report(spark, "worst_day_per_city", daily_city_ranking=f"{schema}.daily_city_ranking")
+    catalog.drop_schema(spark, schema)
     return worst.withColumn("n_tables", F.lit(listed).cast("long"))
 
 
+def q_catalog_switch(spark, sf):
+    """The worst-day report by three-part name, after switching to a catalog that
+    the session lists."""
+    bronze_path = write_table(_bronze(spark, sf), scratch_path(spark, "switch-bronze"))
+    paths = run_batch(spark, bronze_path, scratch_path(spark, "switch-lake"), "cloud", as_of=AS_OF, tie_break=MEASURES)
+    schema, before = f"airlake_{uuid.uuid4().hex}", spark.catalog.currentCatalog()
+    listed = [r.catalog for r in catalog.list_catalogs(spark).collect()]
+    try:
+        catalog.use_catalog(spark, listed[0])
+        catalog.register_tables(spark, schema, {"daily_city_ranking": paths["daily_city_ranking"]})
+        worst = run_report(spark, "worst_day_per_city", daily_city_ranking=f"{listed[0]}.{schema}.daily_city_ranking")
+        now = spark.sql("SELECT current_catalog() AS catalog").first().catalog
+        catalog.drop_schema(spark, schema)
+    finally:
+        catalog.use_catalog(spark, before)
+    return worst.withColumn("catalog", F.lit(now))
+
+
+def _other_zone(spark: SparkSession) -> SparkSession:
+    """A session of the same application in a zone east of UTC."""
+    zone = spark.newSession()
+    zone.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    return zone
+
+
+def q_ingestion_stamp(spark, sf):
+    """Events stamped with the clock while they are written: whether the stamps lie
+    between two instants taken around the action."""
+    zone = _other_zone(spark)
+    responses = fixtures.hourly_responses(_events(zone, sf)).drop("ingestion_timestamp_utc")
+    before = _utc_text()
+    path = write_table(ingest.flatten_hourly(responses, city_dimension(zone)), scratch_path(zone, "stamped"))
+    after = _utc_text()
+    stamp = F.col("ingestion_timestamp_utc")
+    return (
+        zone.read.parquet(path)
+        .groupBy("city_id")
+        .agg(
+            F.count("*").alias("n_rows"),
+            F.bool_and(stamp.between(before, after)).alias("in_bracket"),
+            F.count_distinct(stamp).alias("n_stamps"),
+        )
+    )
+
+
+def _utc_text() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f+00:00")
+
+
+def q_flag_readings_now(spark, sf):
+    """The validity flags against the clock, in a zone east of UTC."""
+    typed = silver.key_filtered(_typed(_other_zone(spark), sf))
+    return present(silver.flag_readings(typed))
+
+
 def q_json_sample(spark, sf):
     """The JSON sample file, read back as text: absent values are there as null."""
     path = write_json(_bronze(spark, sf), scratch_path(spark, "json-sample"))
@@ -324,12 +448,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_readings_incremental": q_latest_readings_incremental,
     "latest_readings_incremental_advancing": q_latest_readings_incremental_advancing,
     "data_freshness_incremental": q_data_freshness_incremental,
+    "gold_incremental_recovery": q_gold_incremental_recovery,
+    "daily_city_ranking_cloud_incremental": q_daily_city_ranking_cloud_incremental,
     "stage_counts": q_stage_counts,
     "with_measurement_date": q_with_measurement_date,
     "daily_city_aqi": q_daily_city_aqi,
     "daily_city_aqi_cloud": q_daily_city_aqi_cloud,
     "daily_city_ranking": q_daily_city_ranking,
     "daily_city_ranking_per_user": q_daily_city_ranking_per_user,
+    "daily_city_ranking_exact_values": q_daily_city_ranking_exact_values,
     "daily_city_ranking_cloud": q_daily_city_ranking_cloud,
     "data_freshness": q_data_freshness,
     "data_freshness_cloud": q_data_freshness_cloud,
@@ -343,13 +470,19 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validate_responses_per_user": q_validate_responses_per_user,
     "flatten_hourly": q_flatten_hourly,
     "flatten_hourly_per_user": q_flatten_hourly_per_user,
+    "validate_responses_lenient": q_validate_responses_lenient,
+    "flatten_hourly_lenient": q_flatten_hourly_lenient,
     "event_json_roundtrip": q_event_json_roundtrip,
     "bronze_preview": q_bronze_preview,
     "bronze_stream": q_bronze_stream,
     "bronze_stream_resume": q_bronze_stream_resume,
+    "bronze_stream_default_trigger": q_bronze_stream_default_trigger,
     "stream_preview": q_stream_preview,
     "record_count": q_record_count,
     "catalog_reports": q_catalog_reports,
+    "catalog_switch": q_catalog_switch,
+    "ingestion_stamp": q_ingestion_stamp,
+    "flag_readings_now": q_flag_readings_now,
     "json_sample": q_json_sample,
     "file_inventory": q_file_inventory,
 }

@@ -5,6 +5,8 @@ whose jar is on the classpath; the code path is identical."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -83,6 +85,34 @@ def _apply_trigger(w, trigger):
     raise ValueError(f"unknown trigger {trigger!r}")
 
 
+def drain(query: StreamingQuery, timeout: float = 600.0, poll: float = 0.1) -> list:
+    """Let a query with a default or interval trigger go on until it is seen to
+    have polled its source and found nothing new, then stop it (T-6). Returns
+    the progress reports of the micro-batches that had input, in order.
+
+    A failed query raises its exception; one that is still busy after
+    ``timeout`` seconds is stopped and raises ``TimeoutError``."""
+    batches, end = {}, time.monotonic() + timeout
+    try:
+        while True:
+            status = query.status
+            batches |= {p.batchId: p for p in query.recentProgress if p.numInputRows}
+            if query.exception() is not None:
+                raise query.exception()
+            # only a poll that finds no data leaves this message
+            if status["message"] == "Waiting for data to arrive" and not status["isTriggerActive"]:
+                break
+            if not query.isActive:
+                break
+            if time.monotonic() > end:
+                raise TimeoutError(f"stream still busy after {timeout} s")
+            time.sleep(poll)
+        batches |= {p.batchId: p for p in query.recentProgress if p.numInputRows}
+    finally:
+        query.stop()
+    return [batches[i] for i in sorted(batches)]
+
+
 def preview_stream(
     df: DataFrame,
     query_name: str,

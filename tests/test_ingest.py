@@ -50,7 +50,15 @@ def test_every_hour_becomes_an_event_of_its_city(spark):
     [
         (body(), (None, None)),
         ("{", ("malformed_json", None)),
-        (body().replace("[0, 1, 2]", "[NaN, 1, 2]"), ("malformed_json", None)),
+        (body().replace("[0, 1, 2]", "[NaN, 1, 2]"), (None, None)),
+        (body().replace("[0, 1, 2]", "[NaN, 1"), ("malformed_json", None)),
+        (body().replace('"pm10"', '"pm10": null, "pm10"'), (None, None)),
+        (body()[:-2] + ', "pm10": null}}', ("non_array_fields", "pm10")),
+        (body(pm10=...).replace("[0, 1, 2]", "[-Infinity, 1, 2]"), ("missing_fields", "pm10")),
+        ('{"hourly": 3, "x": NaN}', ("missing_hourly", None)),
+        ('{"x": NaN}', ("missing_hourly", None)),
+        ('{"hourly": {}, "hourly": ' + body()[11:-1] + "}", (None, None)),
+        ("NaN", ("malformed_json", None)),
         (None, ("missing_hourly", None)),
         ("[]", ("missing_hourly", None)),
         ('{"hourly": 3}', ("missing_hourly", None)),
@@ -88,6 +96,25 @@ def test_a_mistyped_element_is_null_for_its_hour_only(spark, field, values, read
     assert [e.measurement_timestamp for e in got] == HOURS
 
 
+def test_bare_numbers_and_repeated_keys_are_read_as_lenient_parsers_do(spark):
+    pm10, aqi = json.dumps(json.loads(body())["hourly"]["pm10"]), "[0, 1, 2]"
+    assert pm10 in body() and aqi in body()
+    text = body().replace(pm10, "[NaN, Infinity, 2.5]").replace('"pm2_5"', '"pm2_5": [], "pm2_5"')
+    got = events(spark, text)
+    plain = json.loads(text)["hourly"]
+    for e, a, b, c in zip(got, plain["pm10"], plain["pm2_5"], plain["european_aqi"], strict=True):
+        assert (str(e.pm10), e.pm2_5, e.european_aqi) == (str(float(a)), b, c)
+    got = events(spark, body().replace(aqi, "[NaN, 1, 2]"))
+    assert [e[REQUIRED_HOURLY_FIELDS[1]] for e in got][1:] == [1, 2]
+
+
+def test_only_refused_texts_are_parsed_again(spark):
+    plan = validate_responses(frame(spark, body()))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_parse_json") + plan.count("parseJson") == 1
+    again = [line for line in plan.splitlines() if "from_json" in line]
+    assert again and all("CASE WHEN" in line for line in again)
+
+
 def test_unknown_city_has_a_reason_and_no_events(spark):
     df = frame(spark, body(), "{", city=99)
     rows = validate_responses(df, cities=city_dimension(spark)).orderBy("n").collect()
