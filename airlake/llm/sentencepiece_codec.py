@@ -2,8 +2,9 @@
 
 A merge-type (BPE) encoding is the one sequence of pieces in which every
 adjacent pair is *compatible*: re-merging the two pieces' text gives the same
-two pieces. So the encoding is found by backtracking instead of merging: an
-Aho-Corasick automaton gives the longest piece that starts at a position; it
+two pieces. So the encoding is found by backtracking instead of merging: one pass
+of an Aho-Corasick automaton over the text, along its failure links, gives the
+longest piece that starts at each position; it
 is tried first; a piece stays if it is compatible with its predecessor and
 does not end at a position already known to have no valid continuation (one
 bit per position); otherwise the next shorter piece is tried, and when none is
@@ -108,8 +109,6 @@ class Encoder:
     def __init__(self, model: PieceModel):
         self.model = model
         self.automaton = ahocorasick.Automaton()
-        #: every path of the automaton: the longest piece on it
-        self.longest: dict[str, int] = {}
         #: piece id: the longest piece that is a proper prefix of it, -1 if none
         self.shorter: dict[int, int] = {}
         self.length = [len(p) for p in model.pieces]
@@ -119,12 +118,9 @@ class Encoder:
             best = -1
             for end in range(1, len(piece)):
                 best = words.get(piece[:end], best)
-                self.longest[piece[:end]] = best
             self.shorter[i] = best
-            self.longest[piece] = i
         self.automaton.make_automaton()
         self.letters = frozenset(p for p in model.ids if len(p) == 1)
-        self.longest_piece = max(self.length)
         self.split = model.chunk_pattern().findall
         self.by_word = model.dummy_prefix and model.cuts_at_space and model.cuts_at_newline
         self.chunks: dict[str, bytes] = {}
@@ -143,14 +139,21 @@ class Encoder:
         fits = self.pairs[left][right] = self.model.remerge(a + b) == [a, b]
         return fits
 
+    def longest_matches(self, text: str) -> list[int]:
+        """The longest piece that starts at each position, -1 if none."""
+        longest, length = [-1] * len(text), self.length
+        for last, piece in self.automaton.iter(text):  # by end: longer ones come later
+            longest[last + 1 - length[piece]] = piece
+        return longest
+
     def span(self, text: str) -> list[int]:
         """Ids of a text whose characters all are pieces."""
         size, length, shorter, pairs = len(text), self.length, self.shorter, self.pairs
-        longest, match, reach = self.longest, self.automaton.longest_prefix, self.longest_piece
+        longest = self.longest_matches(text)
         failed = None  # bit field of positions, made when the first one fails
         ids: list[int] = []
         at, after = 0, None  # after: what is known to fit behind the last piece
-        piece = longest[text[: match(text[:reach])]]
+        piece = longest[0]
         while at < size:
             while piece >= 0:
                 end = at + length[piece]
@@ -165,8 +168,7 @@ class Encoder:
                 ids.append(piece)
                 at, after = end, pairs[piece]
                 if at < size:
-                    rest = text[at : at + reach]
-                    piece = longest[rest[: match(rest)]]
+                    piece = longest[at]
             else:
                 if not ids:
                     raise ValueError("no encoding: the model's pieces do not cover its characters")
