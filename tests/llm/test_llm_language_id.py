@@ -1,6 +1,11 @@
 """Language identification: held-out accuracy, counts, and edge cases."""
 
+import math
+import random
+import re
+import tracemalloc
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -80,10 +85,78 @@ def test_chunks_of_a_long_text_have_the_same_ngrams(monkeypatch):
     assert (np.sort(np.concatenate(list(hasher.all_buckets(hasher.codes(text))))) == whole).all()
 
 
-def test_the_matrix_keeps_within_its_bound(spark, monkeypatch):
-    monkeypatch.setattr(language_id, "MAX_MATRIX_BYTES", 3 * 8 * 4096)
-    docs = spark.createDataFrame([(t, l) for _, t, l in ROWS], "text string, lang string")
-    assert language_id.train(docs)[1].nbytes <= 3 * 8 * 4096
-    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 2)
-    with pytest.raises(ValueError):
-        language_id.train(docs)
+def test_blocks_of_languages_give_what_one_block_gives(spark, monkeypatch):
+    """However many languages there are, a broadcast keeps within its bound (or one language)."""
+    r = random.Random(2)
+    rows = [(f"{lang} " + "".join(r.choices(f"ab{lang}", k=30)), lang) for lang in "cdefgh" for _ in range(4)]
+    docs = spark.createDataFrame(rows + [("xyz ccd", None), ("", None)], "text string, lang string")
+    whole = language_id.train_blocks(docs)
+    monkeypatch.setattr(language_id, "MAX_MATRIX_BYTES", 2 * 8 * language_id.BUCKETS)
+    monkeypatch.setattr(language_id, "TASK_LANGUAGES", 2)
+    blocks = language_id.train_blocks(docs)
+    assert len(whole) == 1 and [b[0] for b in blocks] == [["c", "d"], ["e", "f"], ["g", "h"]]
+    assert all(b[1].nbytes <= 2 * 8 * language_id.BUCKETS for b in blocks)
+    a, b = ([(r.text, r.lang_pred, pytest.approx(r.score)) for r in language_id.predict(docs, m).collect()] for m in (whole, blocks))
+    assert a == b
+
+
+def plain(rows, text, smoothing=0.5):
+    """lang_pred and score of a text, n-gram by n-gram."""
+    hasher = language_id.Hasher(language_id.BUCKETS)
+
+    def grams(t):
+        t = "".join(c if c.isalpha() else " " for c in f" {t.lower()} ")
+        t = re.sub(" +", " ", t)
+        codes = np.array([ord(c) for c in t], dtype=np.uint32)
+        out = []
+        for n in (1, 2, 3):
+            for i in range(len(t) - n + 1):
+                mixed = np.uint32(0)
+                for k, seed in zip(range(n), language_id.SEEDS, strict=False):
+                    mixed = np.uint32((int(mixed) ^ int(codes[i + k])) * int(seed) & 0xFFFFFFFF)
+                    mixed ^= mixed >> np.uint32(15)
+                out.append((int(mixed) * 0x27D4EB2F & 0xFFFFFFFF) >> int(hasher.shift))
+        return out if t.strip() else []
+
+    counts, docs = {}, Counter()
+    for t, lang in rows:
+        if lang and grams(t or ""):
+            counts.setdefault(lang, Counter()).update(grams(t))
+            docs[lang] += 1
+    own, logs = grams(text or ""), {}
+    if not own:
+        return "und", 0.0
+    for lang, c in sorted(counts.items()):
+        total = sum(c.values()) + smoothing * language_id.BUCKETS
+        logs[lang] = math.log(docs[lang] / sum(docs.values())) + sum(math.log((c[g] + smoothing) / total) for g in own)
+    best = max(logs, key=logs.get)
+    return best, 1 / sum(math.exp(v - logs[best]) for v in logs.values())
+
+
+@pytest.mark.parametrize("product", [8 << 20, 64])
+def test_predictions_are_those_of_a_plain_loop(spark, monkeypatch, product):
+    monkeypatch.setattr(language_id, "PRODUCT_BYTES", product)
+    monkeypatch.setattr(language_id, "CHUNK_CHARS", 7 if product == 64 else 1 << 20)
+    texts = [t for _, t, _ in ROWS if t is None or len(t) < 1000] + ["!!!", " 1 2 3 4 5 6 7 8 9 0 a", "katze  und\n\n\t dog", "é"]
+    rows = [(t, lang) for _, t, lang in ROWS if lang and t]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    asked = spark.createDataFrame([(t, "clash") for t in texts], "text string, name string")
+    got = language_id.predict(asked, language_id.train_blocks(docs)).collect()
+    assert [r.text for r in got] == texts and {r.name for r in got} == {"clash"}
+    for r, t in zip(got, texts, strict=True):
+        name, score = plain(rows, t)
+        assert r.lang_pred == name and r.score == pytest.approx(score, rel=1e-9), t
+
+
+def test_memory_does_not_grow_with_the_text():
+    hasher = language_id.Hasher(language_id.BUCKETS)
+
+    def peak(size):
+        text = "der hund und die katze " * (size // 23)
+        tracemalloc.start()
+        assert hasher.counts(text, language_id.BUCKETS).sum() > 2 * size
+        top = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return top
+
+    assert peak(24 << 20) < 1.2 * peak(4 << 20) < 120 << 20
