@@ -15,7 +15,8 @@ Defined results: null text is empty; an empty text's fingerprint is the empty st
 another empty one (1) and unlike all others (0). Texts under ``SHORT_BYTES``
 have all their 8-byte windows as features (one of the whole text, if shorter), and so have
 texts without a rare window. Documents follow each other by doc_id (null
-first), rows with one id by text; after the last comes the first, which may be
+first), rows with one id by the first ``HEAD`` code points of their text, then a hash
+of it, equal rows in any order; after the last comes the first, which may be
 the same row. Extra columns are ignored.
 """
 
@@ -44,6 +45,8 @@ FILTER_BITS, FILTER_FEATURES, FEATURE_BITS = 2048, 160, 5
 CHUNK = 1 << 18
 BEFORE, AFTER = 2 * WINDOW, 3 * WINDOW
 UNIT = 1 << 10
+#: Code points of a text by which rows with one id are ordered (range bounds reach the driver).
+HEAD = 64
 NEVER = np.int64(1) << np.int64(62)
 
 
@@ -273,21 +276,30 @@ def _batch(rows: list[tuple], width: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, KINDS[:width], strict=True)], names=names)
 
 
+def by_id(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) range-sorted in the order in which documents follow each other."""
+    order = ["doc_id", "_head", "_hash", "_place"]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.select(
+        "*",
+        F.substring("text", 1, HEAD).alias("_head"),
+        F.xxhash64("text").alias("_hash"),
+        F.monotonically_increasing_id().alias("_place"),
+    )
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+
+
 def edit_likeness(docs: DataFrame) -> DataFrame:
     """Per document: its fingerprint, that of its edited text, and their
     likeness, and its likeness to the next document.
 
-    Documents are range-sorted by id; each task compares neighbours as they
+    Documents are range-sorted by id; rows with one id by head and hash of the text, and
+    equal rows by where they are read, so ranges also cut within one id that holds a
+    large share of the rows. Each task compares neighbours as they
     stream by. The last of a range meets the first of the next in a join of
     one row per range."""
-    spark = docs.sparkSession
     ranks = rarity(docs)
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sorted_docs = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-        .repartitionByRange(ranges, "doc_id")
-        .sortWithinPartitions("doc_id", "text")
-    )
+    sorted_docs = by_id(docs)
 
     def run(batches):
         part, last = TaskContext.get().partitionId(), None
