@@ -1,12 +1,18 @@
 """Exact top-k by inner product with a Voronoi join.
 
 Vectors become integers, floor(64 x). Pivots are drawn from the queries, as
-many as a cost estimate on a sample finds best, and every query belongs to its
-nearest pivot's group. Two summaries bound what a group can need: its radius R (largest distance of a query from the pivot p),
-and the (k + 1) largest lower bounds p.x - R |x| over all ids of the data. As
-q.x = p.x + (q - p).x, every query of the group has at least k other rows that
-score the (k + 1)-th of these bounds, theta, or more, and a row can only
-be among its best if p.x + R |x| >= theta. Only such rows are sent to the group.
+many as a cost estimate on a sample finds best, and every query and every row of the data
+belongs to its nearest pivot's group. Groups of queries have one summary: the radius r,
+the largest distance of a query from its pivot p. Groups of data have two: the
+radius R, and the distances d of the (k + 1) rows (of different ids) nearest their pivot s. With
+q = p + e and x = s + f the product q.x is p.s + p.f + e.s + e.f, so
+
+    p.s - |p| d - r (|s| + d)  <=  q.x  <=  p.s + |p| R + r (|s| + R)
+
+From the summaries alone, the (k + 1)-th largest lower bound over the groups' nearest rows
+is a score theta that every query of a group reaches with at least k other rows, and a
+group of data whose upper bound is less than theta is not needed. In the groups
+that are, a row is replicated to a group of queries only if p.x + r |x| >= theta.
 
 A group's queries and its rows are cut into chunks, and every pair of chunks is solved
 by itself, so neither a group of equal queries nor one of equal rows is one task.
@@ -31,8 +37,8 @@ from airlake.llm.common import materialize
 TOP = 20
 QUERY_EVERY = 20
 SCALE = 64.0
-#: The most pivots (they are broadcast), and the sample that their number is chosen on.
-MAX_PIVOTS, SAMPLE_ROWS = 1024, 2048
+#: The fewest and the most pivots (they are broadcast), and the sample that their number is chosen on.
+MIN_PIVOTS, MAX_PIVOTS, SAMPLE_ROWS = 4, 1024, 2048
 #: Estimated cost of sending a row to a group, in inner products.
 ROW_COST = 500
 #: Rows of a chunk of queries and of a chunk of data.
@@ -88,6 +94,18 @@ def group_bounds(rows: np.ndarray, pivots: np.ndarray, radius: np.ndarray) -> tu
     return middle - spread - slack, middle + spread + slack
 
 
+def summary_bounds(
+    distance: np.ndarray, own: np.ndarray, pivots: np.ndarray, radius: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(lower, upper) bounds of the score of any vector within ``distance`` of
+    pivot ``own`` with any query of each group: one row per distance."""
+    norms = np.linalg.norm(pivots, axis=1)
+    middle, far = pivots[own] @ pivots.T, distance[:, None]
+    spread = norms[None, :] * far + radius[None, :] * (norms[own][:, None] + far)
+    slack = SLACK * (norms[own][:, None] * norms[None, :] + spread + 1)
+    return middle - spread - slack, middle + spread + slack
+
+
 def inner_products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Exact int64 inner products; by floating point where that is exact."""
     if not queries.size or not rows.size:
@@ -157,38 +175,61 @@ def pivot_count(queries: np.ndarray, rows: np.ndarray, asked: int, stored: int,
     More pivots make smaller groups with tighter bounds, but each group costs a
     copy of every row that its bounds cannot exclude. The cost of a copy is
     ``ROW_COST`` inner products."""
-    costs, many = {}, 1
+    costs, many = {}, MIN_PIVOTS
     while many <= min(MAX_PIVOTS, asked, len(queries)):
         pivots = queries[:many].astype(np.float64)
         group, distance = nearest(queries, pivots)
         radius = np.array([distance[group == g].max(initial=0) for g in range(many)])
-        lower, upper = group_bounds(rows, pivots, radius)
+        own, away = nearest(rows, pivots)
+        lower, _ = summary_bounds(away, own, pivots, radius)
+        _, upper = group_bounds(rows, pivots, radius)
         rank = min(len(rows), max(1, round((k + 1) * len(rows) / stored)))
         theta = np.sort(lower, axis=0)[-rank]
         passed = (upper >= theta).mean(axis=0)
         members = np.bincount(group, minlength=many) / len(queries) * asked
         costs[many] = float((passed * (np.ceil(members / QUERY_CHUNK) * ROW_COST + members)).sum())
         many *= 4
-    return min(costs, key=costs.get, default=1)
+    return min(costs, key=costs.get, default=min(MIN_PIVOTS, len(queries)))
 
 
-def _route(rows: DataFrame, pivots, radius, theta, dim: int) -> DataFrame:
-    """(vec_id, v, grp) for each group that may need the row."""
-    shared = rows.sparkSession.sparkContext.broadcast((pivots, radius, theta))
+def _assigned(rows: DataFrame, pivots: np.ndarray, dim: int, name: str) -> DataFrame:
+    """``rows`` with their group, that of the nearest pivot, and the distance to it; written."""
+    shared = rows.sparkSession.sparkContext.broadcast(pivots)
 
     def run(batches):
-        pivots, radius, theta = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                _, upper = group_bounds(matrix(part.column("v"), dim), pivots, radius)
-                row, group = np.nonzero(upper >= theta[None, :])
+                group, distance = nearest(matrix(part.column("v"), dim), shared.value)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(group.astype(np.int32)), pa.array(distance)],
+                    names=[*part.schema.names, "grp", "distance"],
+                )
+
+    fields = ", ".join(f"{c} {t}" for c, t in rows.dtypes)
+    return materialize(rows.mapInArrow(run, f"{fields}, grp int, distance double"), name)
+
+
+def _route(data: DataFrame, pivots, radius, theta, needed, dim: int) -> DataFrame:
+    """(vec_id, v, grp) for each group of queries that may need the row;
+    ``needed`` says which groups of data (rows) which groups of queries look into."""
+    shared = data.sparkSession.sparkContext.broadcast((pivots, radius, theta, needed))
+
+    def run(batches):
+        pivots, radius, theta, needed = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024).select(["vec_id", "v"])
+                own = needed[batch.column("grp").slice(at, 1024).to_numpy()]
+                asking = np.flatnonzero(own.any(axis=0))
+                _, upper = group_bounds(matrix(part.column("v"), dim), pivots[asking], radius[asking])
+                row, group = np.nonzero((upper >= theta[None, asking]) & own[:, asking])
                 sent = part.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [*sent.columns, pa.array(group.astype(np.int32))], names=["vec_id", "v", "grp"]
+                    [*sent.columns, pa.array(asking[group].astype(np.int32))], names=["vec_id", "v", "grp"]
                 )
 
-    return rows.mapInArrow(run, "vec_id bigint, v array<bigint>, grp int")
+    return data.mapInArrow(run, "vec_id bigint, v array<bigint>, grp int")
 
 
 class Highest:
@@ -217,43 +258,62 @@ class Highest:
         self.add(np.frombuffer(data[:half]), np.frombuffer(data[half:], dtype=np.int64))
 
 
-def _thresholds(rows: DataFrame, pivots, radius, k: int, dim: int) -> np.ndarray:
-    """theta of every group: the (k + 1)-th highest lower bound of all rows."""
-    shared = rows.sparkSession.sparkContext.broadcast((pivots, radius))
+def _summaries(data: DataFrame, groups: int, k: int) -> tuple[np.ndarray, list[Highest]]:
+    """Per group of data: the radius (-1 if it is empty), and the distances (as
+    negative numbers) and ids of the ``k + 1`` rows nearest the pivot."""
+    schema = "grp int, radius double, top binary"
+
+    def rows(tops, radius):
+        return pa.record_batch(
+            {
+                "grp": pa.array(list(tops), pa.int32()), "radius": pa.array([radius[g] for g in tops], pa.float64()),
+                "top": pa.array([t.packed() for t in tops.values()], pa.binary()),
+            }
+        )
 
     def summarise(batches):
-        pivots, radius = shared.value
-        tops = {g: Highest(k + 1) for g in range(len(pivots))}
+        tops, radius = {}, {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                lower, _ = group_bounds(matrix(part.column("v"), dim), pivots, radius)
-                ids = part.column("vec_id").to_numpy()
-                for g, top in tops.items():
-                    top.add(lower[:, g], ids)
-        yield _summary(tops)
+            group, distance, ids = (batch.column(c).to_numpy() for c in ("grp", "distance", "vec_id"))
+            for g in np.unique(group).tolist():
+                own = group == g
+                tops.setdefault(g, Highest(k + 1)).add(-distance[own], ids[own])
+                radius[g] = max(radius.get(g, 0.0), float(distance[own].max()))
+        yield rows(tops, radius)
 
     def merge(batches):
-        tops: dict[int, Highest] = {}
+        tops, radius = {}, {}
         for batch in batches:
-            for g, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                tops.setdefault(g, Highest(k + 1)).add_packed(data)
-        yield _summary(tops)
-
-    parts = rows.mapInArrow(summarise, "grp int, top binary")
+            for g, r, top in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                tops.setdefault(g, Highest(k + 1)).add_packed(top)
+                radius[g] = max(radius.get(g, 0.0), r)
+        yield rows(tops, radius)
+
+    parts = data.select("vec_id", "grp", "distance").mapInArrow(summarise, schema)
+    radius, tops = np.full(groups, -1.0), [Highest(k + 1) for _ in range(groups)]
+    for g, r, top in parts.repartition("grp").mapInArrow(merge, schema).collect():  # a row per group
+        radius[g] = r
+        tops[g].add_packed(top)
+    return radius, tops
+
+
+def group_plan(
+    pivots: np.ndarray, radius: np.ndarray, data_radius: np.ndarray, tops: list[Highest], k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """(theta of each group of queries, which groups of data x groups of queries
+    are needed), from the summaries."""
+    own = np.repeat(np.arange(len(tops)), [len(t.bounds) for t in tops])
+    near = np.concatenate([t.bounds for t in tops])
+    ids = np.concatenate([t.ids for t in tops])
+    lower, _ = summary_bounds(-near, own, pivots, radius)
     theta = np.full(len(pivots), -np.inf)
-    for g, data in parts.repartition("grp").mapInArrow(merge, "grp int, top binary").collect():
-        top = Highest(k + 1)
-        top.add_packed(data)
-        theta[g] = top.bounds[k] if len(top.bounds) > k else -np.inf
-    return theta
-
-
-def _summary(tops: dict[int, Highest]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(tops), pa.int32()), pa.array([t.packed() for t in tops.values()], pa.binary())],
-        names=["grp", "top"],
-    )
+    for g in range(len(pivots)):
+        best_bounds = Highest(k + 1)
+        best_bounds.add(lower[:, g], ids)
+        if len(best_bounds.bounds) > k:
+            theta[g] = best_bounds.bounds[k]
+    _, upper = summary_bounds(np.maximum(data_radius, 0), np.arange(len(pivots)), pivots, radius)
+    return theta, (upper >= theta[None, :]) & (data_radius >= 0)[:, None]
 
 
 def _sample(rows: DataFrame, dim: int) -> np.ndarray:
@@ -276,26 +336,15 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = TOP) -> DataFrame:
     drawn, sampled = _sample(queries, dim), _sample(rows, dim)
     many = pivot_count(drawn, sampled, asked, rows.count(), k) if len(drawn) and len(sampled) else 1
     pivots = drawn[:many].astype(np.float64) if len(drawn) else np.zeros((1, dim))
-    shared = rows.sparkSession.sparkContext.broadcast(pivots)
-
-    def assign(batches):
-        for batch in batches:
-            if batch.num_rows:
-                group, distance = nearest(matrix(batch.column("v"), dim), shared.value)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(group.astype(np.int32)), pa.array(distance)],
-                    names=[*batch.schema.names, "grp", "distance"],
-                )
-
-    schema = "vec_id bigint, v array<bigint>, query bigint, grp int, distance double"
-    grouped = materialize(queries.mapInArrow(assign, schema), "knn-groups")
+    grouped = _assigned(queries, pivots, dim, "knn-groups")
+    data = _assigned(rows.select("vec_id", "v"), pivots, dim, "knn-data")
     radius, members = np.zeros(len(pivots)), np.zeros(len(pivots), dtype=np.int64)
     for g, r, n in grouped.groupBy("grp").agg(F.max("distance"), F.count("*")).collect():
         radius[g], members[g] = r, n
-    theta = _thresholds(rows, pivots, radius, k, dim)
+    theta, needed = group_plan(pivots, radius, *_summaries(data, len(pivots), k), k)
     theta[members == 0] = np.inf  # an empty group needs nothing
 
-    routed = _route(rows, pivots, radius, theta, dim)
+    routed = _route(data, pivots, radius, theta, needed, dim)
     sent = np.zeros(len(pivots), dtype=np.int64)
     for g, n in routed.groupBy("grp").count().collect():
         sent[g] = n

@@ -97,6 +97,42 @@ def test_bounds_hold():
         assert (scores[i] >= lower[:, g]).all() and (scores[i] <= upper[:, g]).all()
 
 
+def test_summary_bounds_hold_and_exclude():
+    """Bounds of whole groups of data against all products; far groups are not needed."""
+    rng = np.random.default_rng(6)
+    centres = rng.integers(-900, 900, (8, 6))
+    x = centres[rng.integers(0, 8, 600)] + rng.integers(-4, 5, (600, 6))
+    q, pivots = x[::5], centres.astype(float)
+    (group, distance), (own, away) = knn.nearest(q, pivots), knn.nearest(x, pivots)
+    radius = np.array([distance[group == g].max(initial=0) for g in range(8)])
+    lower, upper = knn.summary_bounds(away, own, pivots, radius)
+    scores = knn.inner_products(q, x)
+    for i, g in enumerate(group):
+        assert (scores[i] >= lower[:, g]).all() and (scores[i] <= upper[:, g]).all()
+    tops = [knn.Highest(4) for _ in range(8)]
+    for j in range(8):
+        tops[j].add(-away[own == j], np.flatnonzero(own == j))
+    reach = np.array([away[own == j].max(initial=-1) for j in range(8)])
+    theta, needed = knn.group_plan(pivots, radius, reach, tops, 3)
+    assert needed.sum() < 32
+    for i, g in enumerate(group):
+        third = np.sort(scores[i])[-4:]
+        assert theta[g] <= third[0]
+        assert set(own[np.argsort(scores[i])[-4:]]) <= set(np.flatnonzero(needed[:, g]))
+
+
+def test_the_registered_path_groups_both_sides_and_routes_by_bounds(spark, monkeypatch):
+    from airlake.llm import queries
+
+    seen = []
+    route = knn._route
+    monkeypatch.setattr(knn, "_route", lambda *a: seen.append(a) or route(*a))
+    queries.q_topk(spark, "/root/testdata/sf0.001").count()
+    data, pivots, radius, theta, needed, _ = seen[0]
+    assert len(pivots) >= knn.MIN_PIVOTS and needed.shape == (len(pivots), len(pivots))
+    assert data.select("grp").distinct().count() > 1 and np.isfinite(theta).any()
+
+
 def test_materialised_inputs_are_enough(spark):
     rows = materialize(knn.quantised(frame(spark, vectors(50, 4, 6))), "knn-test")
     got = knn.top_k(rows.where("vec_id = 7"), rows, 3).collect()
@@ -116,4 +152,4 @@ def test_pivots_are_many_where_bounds_exclude_and_few_where_they_cannot():
     tight = (centres[rng.integers(0, 16, 2000)] + rng.integers(-5, 6, (2000, 8))).astype(np.int64)
     loose = rng.integers(-64, 64, (2000, 32))
     assert knn.pivot_count(tight[:500], tight, 100_000, 10**6, 20) > 4
-    assert knn.pivot_count(loose[:500], loose, 2000, 40_000, 20) == 1
+    assert knn.pivot_count(loose[:500], loose, 2000, 40_000, 20) == knn.MIN_PIVOTS
