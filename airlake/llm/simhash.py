@@ -248,24 +248,25 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = R
 def one_per_group(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row
     with its smallest doc_id (one of them if several have it)."""
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    marked = add_fingerprint(keyed.select("doc_id", "_key", "text"), words).drop("text")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # keeps all names apart from the working ones
+    keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), whole)
+    marked = add_fingerprint(docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text"), words).drop("text")
     prints = materialize(marked, "simhash")
     heads = (
         prints.join(components(prints, radius), "fp")
         .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("root", "doc_id", "_key")
-        .agg(F.count("*").alias("_rows"))
-        .groupBy("root", F.col("doc_id").alias("_doc"))
-        .agg(F.min_by(F.struct("_key", "_rows"), "_key").alias("_first"))
-        .select("_doc", F.col("_first._key").alias("_head"), "_first._rows")
+        .groupBy("root", "doc_id", "key")
+        .agg(F.count("*").alias("rows"))
+        .groupBy("root", F.col("doc_id").alias("doc"))
+        .agg(F.min_by(F.struct("key", "rows"), "key").alias("first"))
+        .select("doc", F.col("first.key").alias("head"), "first.rows")
     )
     heads = materialize(heads, "simhash-heads")
 
     def rows(of: DataFrame) -> DataFrame:
-        same = keyed["doc_id"].eqNullSafe(of["_doc"]) & (keyed["_key"] == of["_head"])
+        same = keyed["doc_id"].eqNullSafe(of["doc"]) & (keyed["key"] == of["head"])
         return keyed.join(of, same).select(*keyed.columns)
 
     # equal rows (id and text) are rare; only they need to be told apart
-    again = rows(heads.where("_rows > 1")).dropDuplicates(["doc_id", "_key"])
-    return rows(heads.where("_rows = 1")).union(again).select(*docs.columns)
+    again = rows(heads.where("rows > 1")).dropDuplicates(["doc_id", "key"])
+    return rows(heads.where("rows = 1")).union(again).select("row.*")

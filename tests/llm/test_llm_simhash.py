@@ -124,6 +124,24 @@ def test_repeated_ids_leave_one_row_of_each_group(spark):
     assert kept == [1, 3, 3]
 
 
+def test_extra_columns_keep_their_names_and_values(spark):
+    names = ["key", "row", "rows", "doc", "head", "fp", "root", "_key", "_doc", "component_id", "fingerprint"]
+    rows = [(1, BASE), (2, BASE), (3, "other words in here"), (3, "other words in here")]
+    fields = ", ".join(f"{n} string" for n in names)
+    docs = spark.createDataFrame([(i, t, *names) for i, t in rows], f"doc_id long, text string, {fields}")
+    kept = simhash.one_per_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r)[:2] + tuple(r)[2:] for r in kept.collect()) == [(i, t, *names) for i, t in (rows[0], rows[2])]
+
+
+def test_components_end_only_when_no_edge_changes(spark):
+    """Rounds that keep the number of edges go on: a long path in an awkward order."""
+    path = [(i * 37 % 101, (i + 1) * 37 % 101) for i in range(100)]
+    edges = spark.createDataFrame(path + [(500, 400), (400, 300)], "u long, v long")
+    found = {r.node: r.root for r in simhash.connected_components(edges).collect()}
+    assert found == {i: 0 for i in range(101)} | {300: 300, 400: 300, 500: 300}
+
+
 def test_empty_table_and_only_null_ids(spark):
     assert simhash.near_duplicates(frame(spark, [])).collect() == []
     assert simhash.one_per_group(frame(spark, [])).collect() == []
