@@ -16,8 +16,8 @@ Defined results: null or empty text is one empty line; rows with the same
 doc_id are one document (a key that only they hold is not repeated), but each
 gathers the dropped keys of its own text only; rows with
 a null doc_id take no part and keep their lines; a document that loses all its
-lines stays, with empty text. Extra columns pass through, except existing
-columns named n_lines or n_dropped, which are replaced.
+lines stays, with empty text. Extra columns pass through whatever their names, except
+n_lines and n_dropped, which are replaced.
 """
 
 from __future__ import annotations
@@ -197,11 +197,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         .where("doc_id > first")
         .groupBy("row")
         .agg(F.collect_set("key").alias("_drop"))
-        .withColumnRenamed("row", "_row")
     )
     base = docs.drop("n_lines", "n_dropped")
-    keyed = base.withColumn("_row_key", F.when(F.col("doc_id").isNotNull(), row_key()))
-    joined = keyed.join(drops, keyed["_row_key"] == drops["_row"], "left").drop("_row", "_row_key")
+    others = F.struct(F.lit(0), *[F.col(f"`{c}`") for c in base.columns if c != "text"])  # apart from the working names
+    keyed = base.select(others.alias("others"), "text", F.when(F.col("doc_id").isNotNull(), row_key()).alias("row"))
+    joined = keyed.join(drops, "row", "left").drop("row")
 
     def make():
         def compute(part):
@@ -219,8 +219,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
         return compute
 
-    done = add_columns(joined, "_kept string, n_lines bigint, n_dropped bigint", make)
-    return done.withColumn("text", F.col("_kept")).select(*base.columns, "n_lines", "n_dropped")
+    done = add_columns(joined, "kept string, n_lines bigint, n_dropped bigint", make)
+    columns = [F.col("kept" if c == "text" else f"others.`{c}`").alias(c) for c in base.columns]
+    return done.select(*columns, "n_lines", "n_dropped")
 
 
 def line_digest(docs: DataFrame) -> DataFrame:

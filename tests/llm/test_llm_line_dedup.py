@@ -77,6 +77,19 @@ def test_digest_equals_brute_force_and_sql(spark):
     assert sorted(con.execute(line_dedup.LINE_DIGEST_SQL).fetchall()) == want
 
 
+def test_extra_columns_keep_their_names_and_values(spark):
+    names = ["_row_key", "_row", "_drop", "_kept", "row", "drop", "kept", "others", "key", "first", "a.b"]
+    rows = [(1, f"{COMMON}\none"), (2, f"{COMMON}\ntwo"), (None, COMMON)]
+    fields = ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame([(*names, i, t) for i, t in rows], f"{fields}, doc_id long, text string")
+    done = line_dedup.dedup_lines(docs)
+    assert done.columns == [*docs.columns, "n_lines", "n_dropped"]
+    got = {r.doc_id: tuple(r) for r in done.collect()}
+    assert got == {
+        1: (*names, 1, rows[0][1], 2, 0), 2: (*names, 2, "two", 2, 1), None: (*names, None, COMMON, 1, 0),
+    }
+
+
 def test_empty_table_and_tables_without_text(spark):
     assert line_dedup.line_digest(frame(spark, [])).collect() == []
     got = line_dedup.dedup_lines(frame(spark, [(1, None), (None, None), (2, "")])).collect()
