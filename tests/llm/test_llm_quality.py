@@ -1,6 +1,8 @@
 """The line-chain CRF: exact marginals, gradients, and held-out quality."""
 
 import itertools
+import math
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -144,3 +146,45 @@ def test_fit_climbs_the_likelihood_of_all_labellings(monkeypatch):
     for _ in range(20):
         d, e = rng.normal(size=weights.shape) * 0.05, rng.normal(size=links.shape) * 0.05
         assert value(weights + d, links + e) < best
+
+
+def test_document_scores_equal_the_sum_over_all_labellings(spark):
+    """Score of short documents: label sequences weighed one by one."""
+    rng = np.random.default_rng(4)
+    weights, links, curve = rng.normal(size=3 * quality.N_OWN), rng.normal(size=(2, 2)), (1.3, -0.2)
+    texts = ["one line", "two\nlines 99 !!", "", None, "\n\n", "A b c.\n$$$$ 12\n\nlast UPPER line", "x" * 300 + "\ny"]
+    docs = spark.createDataFrame([(t, "clash") for t in texts], "text string, predicted string")
+    got = quality.score_documents(docs, (weights, links, curve, 0.5)).collect()
+    for r, text in zip(got, texts, strict=True):
+        lines = (text or "").split("\n")
+        odds = np.clip(quality.chain_features(lines) @ weights, -30, 30)
+        total, good = 0.0, np.zeros(len(lines))
+        for labels in itertools.product((0, 1), repeat=len(lines)):
+            weight = math.exp(sum(o for o, y in zip(odds, labels, strict=True) if y) + sum(links[a, b] for a, b in zip(labels, labels[1:], strict=False)))
+            total += weight
+            good += weight * np.array(labels)
+        length = np.array([len(x) + 1 for x in lines])
+        mean = min(max(float(good / total @ length / length.sum()), 1e-6), 1 - 1e-6)
+        score = 1 / (1 + math.exp(-(curve[0] * math.log(mean / (1 - mean)) + curve[1])))
+        assert r.score == pytest.approx(score, rel=1e-6) and r.predicted == (score >= 0.3)
+
+
+def test_blocks_of_lines_change_nothing(monkeypatch):
+    rng = np.random.default_rng(5)
+    lines = ["word " * int(rng.integers(0, 9)) + "." * int(rng.integers(0, 3)) for _ in range(200)]
+    weights, links = rng.normal(size=3 * quality.N_OWN), rng.normal(size=(2, 2))
+    odds = np.clip(quality.chain_features(lines) @ weights, -30, 30)
+    whole = quality.marginals(odds, links)
+    for block in (1, 7, 200):
+        monkeypatch.setattr(quality, "LINE_BLOCK", block)
+        assert np.allclose(quality.line_odds(lines, weights), odds) and np.allclose(quality.marginals(odds, links), whole)
+
+
+def test_a_text_of_line_breaks_stays_small():
+    lines = ("\n" * 1_000_000).split("\n")
+    tracemalloc.start()
+    odds = quality.line_odds(lines, np.ones(3 * quality.N_OWN))
+    quality.marginals(odds, np.zeros((2, 2)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
