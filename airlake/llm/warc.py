@@ -73,9 +73,10 @@ def warc_record(page_id, url: str | None, payload: bytes, sha1: str, refers_to,
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def _headers(data: bytes) -> tuple[dict[str, str], int]:
-    end = data.index(b"\r\n\r\n")
-    lines = data[:end].decode().split("\r\n")[1:]
+def _headers(data: bytes, at: int = 0) -> tuple[dict[str, str], int]:
+    """Header fields of the block at ``at``, and where it ends."""
+    end = data.index(b"\r\n\r\n", at)
+    lines = data[at:end].decode().split("\r\n")[1:]
     return dict(line.split(": ", 1) for line in lines), end + 4
 
 
@@ -170,10 +171,10 @@ class BundleReader:
         for number in range(len(self.sizes)):
             data, at = self.frame(number), 0
             while at < len(data):
-                head, block = _headers(data[at:])
-                length = block + int(head["Content-Length"]) + 4
-                yield parse_record(data[at : at + length])
-                at += length
+                head, block = _headers(data, at)
+                stop = block + int(head["Content-Length"]) + 4
+                yield parse_record(data[at:stop])
+                at = stop
 
 
 def mark_revisits(pages: DataFrame) -> DataFrame:
@@ -195,6 +196,9 @@ def mark_revisits(pages: DataFrame) -> DataFrame:
     # written first, so that the join's inputs are plain shuffles, which Spark
     # can split where one payload has very many rows
     groups = materialize(groups, "warc-groups")
+    # a key of its own for each short payload: one null key would be one partition
+    short = F.concat(F.lit("short "), F.xxhash64("page_id", "url").cast("string"))
+    facts = facts.withColumn("key", F.coalesce("key", short))
     return facts.join(groups, "key", "left").select("page_id", "url", "payload", F.sha1("payload").alias("sha1"), "keep")
 
 
