@@ -201,7 +201,7 @@ def predict(docs: DataFrame, model: list[Model] | Model, text_col: str = "text")
     base = docs.drop("lang_pred", "score")
     others = [c for c in base.columns if c != text_col]
     found = base.select(
-        F.struct(F.lit(0), *others).alias("row"), F.col(text_col).alias("text"),
+        F.struct(F.lit(0), *[F.col(f"`{c}`") for c in others]).alias("row"), F.col(text_col).alias("text"),
         F.lit(None).cast("struct<name:string,top:double,sum:double>").alias("before"),
     )
     for block in blocks:

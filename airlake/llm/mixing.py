@@ -251,8 +251,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     Rows with the same id, source and text share their uses as evenly as they
     go, those that differ in other columns in the order of a hash of these. Rows
     equal in all columns are one row until they are written."""
-    whole = F.struct(*[F.col(c) for c in docs.columns])  # keeps all names apart from the mix's own
-    rest = F.md5(F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(c) for c in docs.columns if c != "text"])))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # keeps all names apart from the mix's own
+    rest = F.md5(F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c != "text"])))
     keyed = docs.select(item_of("doc_id", "source", "text").alias("item"), rest.alias("rest"), whole.alias("row"))
     uses = _uses(docs)[1].groupBy("item").agg(F.sum("uses").alias("uses"))
     counts = keyed.groupBy("item", "rest").agg(F.count("*").alias("n"))
