@@ -18,27 +18,47 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject; it learns from the labels table."""
+    """Documents that the classifier does not reject; it learns from the labels table.
+
+    Null and empty texts are one empty line and scored like others; texts of any
+    length are read whole; equal rows get equal scores and stay or go together; with labels
+    of one kind or none every document has their share of label 1 (0.5 without labels) as its score.
+    An empty table gives no rows; other columns of ``docs`` are not looked at."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels")).select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without lines that an earlier one holds; n_chars follows the text."""
+    """Every document, without lines that an earlier one holds; n_chars follows the text.
+
+    Null text becomes empty; rows with one id are one document and keep the lines
+    they share; rows with a null id keep all lines; a document that loses all its lines stays, empty.
+    An empty table gives no rows; other columns stay as they are."""
     return line_dedup.dedup_lines(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest doc_id."""
+    """One document of each near-duplicate group: the one with the smallest doc_id.
+
+    Texts without a word (null, empty, blanks) are one group; of rows with one id that
+    are in one group one stays, chosen by a hash of the text; a group of null ids only keeps one row.
+    An empty table gives no rows; other columns stay as they are."""
     return simhash.one_per_group(docs).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of all documents by source weight; a document taken twice is two rows."""
+    """The mix of all documents by source weight; a document taken twice is two rows.
+
+    Texts without a word (null, empty, blanks) take no part; null sources are one
+    source; equal rows are taken one by one; a document is taken whole, however long, three times at most.
+    An empty table gives no rows; other columns stay as they are."""
     return mixing.mixed_documents(docs).select(*COLUMNS)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Digests of every row's SentencePiece ids and of their decoded text."""
+    """Digests of every row's SentencePiece ids and of their decoded text.
+
+    Null and empty texts have no ids; texts of any length are encoded whole; repeated
+    rows and null ids pass through one to one. An empty table gives no rows."""
     return sentencepiece_codec.codec_digest(docs, piece_model())
 
 
