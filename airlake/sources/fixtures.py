@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from airlake.functions.timestamps import iso_utc_text
 from airlake.schemas import CITIES, EVENT_COLUMNS, SOURCE_NAME
+from airlake.sources.tables import read_table
 
 # --- fixed values of the adapter (restated in the oracle SQL) ---------------
 MOD_OTHER_SOURCE = 23
@@ -52,9 +53,14 @@ EARLY_AS_OF = "2024-01-15 12:00:00"
 # --- end of fixed values ----------------------------------------------------
 
 
+#: Session setting of a caller who wants a test table, one row group in one file, spread.
+SPREAD = "airlake.fixtures.spread"
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one test table."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one test table, spread over tasks only if the session says so."""
+    spread = int(spark.conf.get(SPREAD, "0"))
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", spread=spread)
 
 
 def _every(n: int) -> Column:

@@ -13,12 +13,18 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 from airlake.schemas import CITIES
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
-    """Batch scan of a Parquet/Delta/JSON location."""
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, spread: int | None = None) -> DataFrame:
+    """Batch scan of a Parquet/Delta/JSON location.
+
+    ``spread`` deals the rows over so many tasks before anything else is done
+    with them, at the price of a shuffle of the columns read. It is for a caller who knows that the
+    input is one file that cannot be split (a single row group) and that the work per row is heavy;
+    nothing is spread unless asked."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(path)
+    table = reader.load(path)
+    return table.repartition(spread) if spread else table
 
 
 def kafka_options(

@@ -42,6 +42,19 @@ def test_no_query_spreads_its_input_round_robin(spark):
         assert "RoundRobinPartitioning" not in phys, key
 
 
+def test_the_input_is_spread_where_the_caller_asks(spark):
+    from airlake.sources import fixtures
+
+    spark.conf.set(fixtures.SPREAD, "3")
+    try:
+        _, phys = _plans(spark, "parse_events")
+    finally:
+        spark.conf.unset(fixtures.SPREAD)
+    assert "RoundRobinPartitioning(3)" in phys
+    scan = phys[phys.index("RoundRobinPartitioning") :]
+    assert "props" not in scan and "event_type" not in scan  # only the columns read are shuffled
+
+
 def test_day_ranking_has_no_window_over_a_day_of_cities(spark):
     for key in ("daily_city_ranking", "daily_city_ranking_per_user"):
         opt, _ = _plans(spark, key)
