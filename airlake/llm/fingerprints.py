@@ -46,7 +46,7 @@ CHUNK = 1 << 18
 BEFORE, AFTER = 2 * WINDOW, 3 * WINDOW
 UNIT = 1 << 10
 #: Code points of a text by which rows with one id are ordered (range bounds reach the driver).
-HEAD = 64
+HEAD = 16
 NEVER = np.int64(1) << np.int64(62)
 
 

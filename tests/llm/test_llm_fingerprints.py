@@ -113,3 +113,71 @@ def test_on_documents_edits_stay_near_and_neighbours_do_not(spark):
     for r in docs.collect():
         if r.doc_id in prints:
             assert texts.setdefault(r.text, prints[r.doc_id]) == prints[r.doc_id]
+
+
+def plain_filters(hashes) -> list[set[int]]:
+    """Chained filters as sets of bit numbers."""
+    out = []
+    for k, h in enumerate(int(x) for x in hashes):
+        if k % fp.FILTER_FEATURES == 0:
+            out.append(set())
+        out[-1] |= {(h >> (11 * j)) % fp.FILTER_BITS for j in range(fp.FEATURE_BITS)}
+    return out
+
+
+def plain_likeness(a: list[set[int]], b: list[set[int]]) -> float:
+    if not a or not b:
+        return float(len(a) == len(b))
+    if len(a) > len(b):
+        a, b = b, a
+    total = 0.0
+    for x in a:
+        best = 0.0
+        for y in b:
+            chance, most = len(x) * len(y) / fp.FILTER_BITS, min(len(x), len(y))
+            best = max(best, min(max((len(x & y) - chance) / max(most - chance, 1e-9), 0), 1))
+        total += best * len(x)
+    return total / sum(len(x) for x in a)
+
+
+def bits_of(digest: np.ndarray) -> list[set[int]]:
+    return [set(np.flatnonzero(np.unpackbits(row)).tolist()) for row in digest]
+
+
+@pytest.mark.parametrize("sizes", [(0, 0), (0, 5), (1, 1), (160, 161), (400, 90), (1000, 700)])
+def test_filters_and_likeness_are_those_of_the_rules(sizes):
+    rng = np.random.default_rng(sum(sizes))
+    pool = rng.integers(0, 1 << 63, 1200, dtype=np.uint64)
+    a, b = (rng.choice(pool, n, replace=False) for n in sizes)
+    da, db = fp.filters(a), fp.filters(b)
+    assert bits_of(da) == plain_filters(a) and bits_of(db) == plain_filters(b)
+    assert fp.likeness(da, db) == pytest.approx(plain_likeness(plain_filters(a), plain_filters(b)), abs=1e-12)
+    assert fp.likeness(db, da) == pytest.approx(plain_likeness(plain_filters(b), plain_filters(a)), abs=1e-12)
+
+
+def test_the_query_gives_the_plain_likeness(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in ROWS if i is not None], "doc_id long, text string")
+    ranks = fp.rarity(docs)
+    prints = {}
+    for r in fp.edit_likeness(docs).collect():
+        own, new = (bits_of(fp.from_text(x)) for x in (r.fingerprint, r.edited_fingerprint))
+        assert r.near_edited == pytest.approx(plain_likeness(own, new), abs=1e-12)
+        prints.setdefault(r.doc_id, own)
+    texts = dict(ROWS)
+    (own,) = fp.features([texts[1].encode()], ranks)
+    assert prints[1] == plain_filters(own)
+
+
+def test_no_range_holds_an_id_with_a_third_of_the_rows(spark):
+    """By text, and where the texts are equal too."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    rows = [(7 if i % 3 == 0 else i, "equal" if i % 6 == 0 else f"text {i}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 16)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        parts = fp.by_id(docs).rdd.glom().map(len).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(parts) == 3000 and max(parts) < 2 * 3000 / 16, parts
