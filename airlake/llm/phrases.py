@@ -57,6 +57,8 @@ BITS_PER_KEY, MIN_BITS, MAX_BITS = 16, 1 << 20, 1 << 28
 #: Bits of a Bloom filter that are merged as one row.
 BLOOM_SEGMENT = 1 << 16
 PROBES = 4
+#: Parts that the counts of a single word, and a lang's best phrases, are dealt over.
+SALTS = 32
 #: Seeds tried until the ids of all words differ.
 SEEDS = tuple(range(1, 9))
 
@@ -574,13 +576,17 @@ def scored(phrases: DataFrame) -> DataFrame:
         parts = F.explode(_parts(df, spans)).alias("part")
         return df.select("lang", "a", whole, parts).select("lang", "a", "whole", "part.*")
 
-    # both sides of every cut, with their counts; a hot side is one row of phrases
+    # both sides of every cut, with their counts; a frequent word is a side of very many
+    # candidates, so its one count is dealt over SALTS keys
     sides = None
     for df, n in zip(by_length, range(2, MAX_WORDS + 1), strict=True):
         rows = exploded(df, cuts(n))
         sides = rows if sides is None else sides.union(rows)
-    counts = phrases.select(*key, F.col("a").alias("f"))
-    side = sides.join(counts, key).withColumn("k", F.abs("cut"))
+    single = F.col("words") == 1
+    salts = F.when(single, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    counts = phrases.select(*key, F.col("a").alias("f"), F.explode(salts).alias("salt"))
+    salt = F.when(single, F.pmod(F.xxhash64("whole"), F.lit(SALTS)).cast("int")).otherwise(0)
+    side = sides.withColumn("salt", salt).join(counts, [*key, "salt"]).withColumn("k", F.abs("cut"))
     per_cut = side.groupBy("whole", "a", "k").agg(
         F.max(F.when(F.col("cut") > 0, F.col("f"))).alias("l"), F.max(F.when(F.col("cut") < 0, F.col("f"))).alias("r")
     )
@@ -604,11 +610,13 @@ def scored(phrases: DataFrame) -> DataFrame:
 def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT) -> DataFrame:
     """Each lang's first ``top`` phrases: lang, rank, phrase, a, l, r, n, score."""
     phrases, words = frequent_phrases(docs, min_count)
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc())
-    # all that may be among the first, ties included; only these become text
-    first = materialize(
-        scored(phrases).withColumn("place", F.rank().over(order)).where(F.col("place") <= top), "phrases-first"
-    )
+    # all that may be among the first, ties included; only these become text. A lang's
+    # phrases are ranked in parts, so that the last step sees SALTS * top of them and ties
+    best = scored(phrases).withColumn("salt", F.pmod(F.xxhash64(*LANES), F.lit(SALTS)))
+    for part in (["lang", "salt"], ["lang"]):
+        order = Window.partitionBy(*part).orderBy(F.col("score").desc(), F.col("a").desc())
+        best = best.withColumn("place", F.rank().over(order)).where(F.col("place") <= top).drop("place")
+    first = materialize(best.drop("salt"), "phrases-first")
     lanes = F.array(*LANES)
     spelled = (
         first.select("*", F.posexplode(F.slice(lanes, F.lit(1), F.col("words"))).alias("at", "id"))
