@@ -137,15 +137,19 @@ class SlotTable:
     """A small state table that survives an interrupted overwrite.
 
     A version is written to the slot that is not in use, then named by one
-    appended row; until that row is there readers see the previous version."""
+    appended row; until that row is there readers see the previous version.
+    One writer at a time: an object reads the names once and then knows its own."""
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
+        self._known: int | None = None
 
     def version(self) -> int:
-        # with a schema: a folder that a first, cut-off append left empty names no version
-        names = _read_or_none(self.spark, f"{self.root}/versions", "json", "version long")
-        return 0 if names is None else names.agg(F.max("version")).first()[0] or 0
+        if self._known is None:
+            # with a schema: a folder that a first, cut-off append left empty names no version
+            names = _read_or_none(self.spark, f"{self.root}/versions", "json", "version long")
+            self._known = 0 if names is None else names.agg(F.max("version")).first()[0] or 0
+        return self._known
 
     def read(self, version: int | None = None) -> DataFrame | None:
         """The current version, or an earlier one whose slot was not written since."""
@@ -159,8 +163,9 @@ class SlotTable:
         return new
 
     def _name(self, version: int) -> None:
-        row = self.spark.range(1).select(F.lit(version).alias("version"))
+        row = self.spark.range(1, numPartitions=1).select(F.lit(version).alias("version"))
         row.write.mode("append").json(f"{self.root}/versions")
+        self._known = version
 
 
 class DateJournal:
@@ -185,7 +190,8 @@ class DateJournal:
         return sorted(r.measurement_date for r in rows), rows[0].staged if rows else None
 
     def write(self, dates, staged: int | None = None) -> None:
-        self.entries.write(self.spark.createDataFrame([(d, staged) for d in sorted(dates)], self.SCHEMA))
+        rows = self.spark.createDataFrame([(d, staged) for d in sorted(dates)], self.SCHEMA)
+        self.entries.write(rows.coalesce(1))
 
 
 def run_silver_incremental(
@@ -296,7 +302,7 @@ def run_gold_incremental(
     journal = DateJournal(spark, silver_path, fmt)
     dates = sorted({*dates, *journal.unfinished()[0]})
     if not dates:
-        return paths
+        return paths  # nothing changed and nothing is open
     in_dates = F.col("measurement_date").isin(dates)
     silver = read_table(spark, silver_path, fmt).where(in_dates)
     write_table(gold_rollup(silver, variant), paths["rollup"], fmt, partition_by=["measurement_date"], options=_DYNAMIC)
