@@ -125,7 +125,7 @@ def queue_items(
     size and ``spot``, its place in the shuffled order.
 
     Equal rows are counted, not gathered, and spread again by :func:`in_chunks`."""
-    counted = (
+    counted = materialize(
         docs.select(
             item_of(id_col, source_col, text_col).alias("item"),
             F.col(id_col).alias("doc_id"),
@@ -133,7 +133,8 @@ def queue_items(
             size_of(F.col(text_col)).alias("size"),
         )
         .groupBy("item", "doc_id", "source", "size")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n")),
+        "mix-counts",
     )
     copies = in_chunks(counted, ["item"]).withColumn(
         "copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))
@@ -174,12 +175,14 @@ def mix(
     rows = items.count()
     cell_bits = _range_bits(rows, CELL_ROWS)
     items = items.withColumn("cell", F.shiftright("spot", SPOT_BITS - cell_bits))
+    # cells and what is planned for them are small tables that the rest reads several times
     cells = items.groupBy("source", "cell").agg(F.sum("size").alias("cell_words"), F.max("size").alias("largest"))
+    cells = materialize(cells, "mix-cells")
     totals = cells.groupBy("source").agg(F.sum("cell_words").alias("source_size"), F.max("largest").alias("largest"))
     targets = _with(source_targets(totals.drop("largest"), weights, share, passes), totals.drop("source_size"), "source")
     targets = targets.withColumn("limit", _last_finish())
     cells = offsets(cells.drop("largest"), ["source"], "cell", "cell_words", cell_bits)
-    plan = _with(cells.drop("cell_words"), targets.drop("largest"), "source")
+    plan = materialize(_with(cells.drop("cell_words"), targets.drop("largest"), "source"), "mix-plan")
     planned = _with(items, plan, "source", "cell")
 
     # finish times
@@ -254,8 +257,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # keeps all names apart from the mix's own
     rest = F.md5(F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c != "text"])))
     keyed = docs.select(item_of("doc_id", "source", "text").alias("item"), rest.alias("rest"), whole.alias("row"))
-    uses = _uses(docs)[1].groupBy("item").agg(F.sum("uses").alias("uses"))
-    counts = keyed.groupBy("item", "rest").agg(F.count("*").alias("n"))
+    uses = materialize(_uses(docs)[1].groupBy("item").agg(F.sum("uses").alias("uses")), "mix-uses")
+    counts = materialize(keyed.groupBy("item", "rest").agg(F.count("*").alias("n")), "mix-rows")
     totals = counts.groupBy("item").agg(F.sum("n").alias("total"))
     at = F.conv(F.substring("rest", 1, SPOT_BITS // 4), 16, 10).cast("long")
     counts = counts.join(totals.join(uses, "item"), "item").withColumn("at", at)
@@ -264,15 +267,26 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     inside = Window.partitionBy("item", "at").orderBy("rest").rowsBetween(Window.unboundedPreceding, -1)
     first = F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))
     more = F.greatest(F.lit(0), F.least("n", F.col("uses") % F.col("total") - F.col("first")))
-    shares = (
+    shares = materialize(
         counts.join(places.drop("here"), ["item", "at"])
         .withColumn("first", first)
         .select("item", "rest", (F.floor(F.col("uses") / F.col("total")) * F.col("n") + more).alias("n"))
-        .where("n > 0")
+        .where("n > 0"),
+        "mix-shares",
     )
-    distinct = keyed.groupBy("item", "rest").agg(F.first("row").alias("row"))
-    taken = in_chunks(distinct.join(shares, ["item", "rest"]), ["item", "rest"])
-    return taken.withColumn("use", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).select("row.*")
+
+    def written(some: DataFrame) -> DataFrame:
+        """A row for each (item, rest) of ``some``, with its n."""
+        return keyed.groupBy("item", "rest").agg(F.first("row").alias("row")).join(some, ["item", "rest"])
+
+    def repeated(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("use", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).select("row.*")
+
+    taken = repeated(written(shares.where(F.col("n") <= COPY_CHUNK)))
+    many = shares.where(F.col("n") > COPY_CHUNK)
+    if many.isEmpty():
+        return taken
+    return taken.union(repeated(in_chunks(written(many), ["item", "rest"])))
 
 
 TAKEN_WORDS_SQL = r"""
