@@ -19,6 +19,7 @@ like an output are replaced.
 from __future__ import annotations
 
 import codecs
+import hashlib
 import re
 from array import array
 
@@ -26,7 +27,6 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from airlake.llm.common import add_columns, texts_of
 
@@ -319,11 +319,26 @@ def decode(df: DataFrame, model: bytes, ids_col: str = "ids", text_col: str = "d
 
 
 def codec_digest(docs: DataFrame, model: bytes) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of :func:`encode` and :func:`decode`."""
-    coded = decode(encode(docs.select("doc_id", "text"), model).drop("text"), model)
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
-    )
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of what :func:`encode`
+    and :func:`decode` give, in one pass, so neither ids nor texts leave the worker."""
+    shared = _shared(docs, model)
+
+    def make():
+        codecs.register_error("replace_each_byte", _replace_each_byte)
+        encoder, decoder = _kept(shared.value, "encoder", Encoder), _kept(shared.value, "decoder", Decoder)
+        numerals = _kept(shared.value, "numerals", lambda m: [str(i) for i in range(len(m.pieces))])
+
+        def compute(batch):
+            rows = []
+            for text in texts_of(batch, "text"):
+                ids = np.frombuffer(encoder.encode(text), dtype=np.int32)
+                joined = ",".join([numerals[i] for i in ids.tolist()])
+                digests = [hashlib.sha256(t.encode()).hexdigest() for t in (joined, decoder.decode(ids))]
+                rows.append((len(ids), *digests))
+            columns = zip(*rows, strict=True) if rows else ((), (), ())
+            return [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.string()), strict=True)]
+
+        return compute
+
+    fields = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return add_columns(docs.select("doc_id", "text"), fields, make).drop("text")
