@@ -59,6 +59,8 @@ BLOOM_SEGMENT = 1 << 16
 PROBES = 4
 #: Parts that the counts of a single word, and a lang's best phrases, are dealt over.
 SALTS = 32
+#: Rows of a written table of frequent n-grams per file, at most about.
+FILE_ROWS = 1 << 20
 #: Seeds tried until the ids of all words differ.
 SEEDS = tuple(range(1, 9))
 
@@ -539,9 +541,12 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataF
     skip = (total // SEGMENT_WORDS).bit_length()
     level = words.where(F.col("n") >= min_count).select("lang", F.col("id").alias("w0"), F.col("n").alias("a"))
     phrases = _keyed(level, 1)
+    # as each of them occurs min_count times or more, frequent n-grams are no more than this
+    most = total // max(min_count, 1)
     for n in range(2, MAX_WORDS + 1):
         found = frequent_grams(docs, n, seed, bloom_of(level, n - 1), skip, min_count)
-        level = materialize(found, f"phrases-{n}")
+        # few rows of many merges go into few files: on a local disk an executor starts processes for each
+        level = materialize(found.repartition(1 + most // FILE_ROWS), f"phrases-{n}")
         phrases = phrases.union(_keyed(level, n))
     return phrases, words
 

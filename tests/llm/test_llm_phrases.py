@@ -85,6 +85,26 @@ def test_bounded_memory_changes_nothing(spark, monkeypatch):
     assert got(spark, rows) == brute(rows, 3, 2000)
 
 
+def test_frequent_phrases_go_into_few_files(spark, monkeypatch):
+    """By their number, however many segments and shuffle partitions they are merged in."""
+
+    def files(rows):
+        table, _ = phrases.frequent_phrases(frame(spark, rows).repartition(3), 3)
+        return {n: sum(f"/phrases-{n}-" in f for f in table.inputFiles()) for n in (2, 3, 4)}
+
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    monkeypatch.setattr(phrases, "SEGMENT_WORDS", 100)
+    rows, before = corpus(13), spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        assert set(files(rows).values()) == {1}
+        monkeypatch.setattr(phrases, "FILE_ROWS", 300)  # some 1,800 words, so at most 600 frequent n-grams
+        assert all(1 < n <= 3 for n in files(rows).values())
+        assert got(spark, rows) == brute(rows, 3, 2000)
+    finally:
+        spark.conf.set(coalesce, before)
+
+
 def test_a_hot_lang_and_repeated_rows(spark):
     rows = [(1, "to be or not to be", "en")] * 50 + [(i, f"word{i} to be", "de") for i in range(20)]
     assert got(spark, rows) == brute(rows, 3, 2000)
